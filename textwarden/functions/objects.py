@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 _OBJECT = "json string, keys array<string>"
 _VERDICT = (
     "json string, has_is_safe boolean, unsafe boolean, reason string, confidence double, "
-    "confidence_ok boolean, violations array<string>, violations_ok boolean"
+    "confidence_ok boolean, violations array<string>, violations_ok boolean, metadata_ok boolean"
 )
 
 
@@ -44,9 +44,10 @@ def _is_number(value) -> bool:
 def _verdict_row(text):
     value = _loads(text) if text is not None else None
     if value is None:
-        return (None,) * 8
+        return (None,) * 9
     confidence = value.get("confidence", 1.0)
     violations = value.get("violations", [])
+    violations = list(violations) if isinstance(violations, str) else violations
     listed = isinstance(violations, list) and all(isinstance(v, str) for v in violations)
     reason = value.get("reason", "No reason provided")
     return (
@@ -58,6 +59,7 @@ def _verdict_row(text):
         _is_number(confidence),
         violations if listed else None,
         listed,
+        isinstance(value.get("metadata", {}), dict),
     )
 
 

@@ -62,20 +62,3 @@ def last_turns(
         F.max_by(role, order).alias(role),
         F.max_by(text, order).alias(text),
     )
-
-
-def message_lists(
-    turns: DataFrame, conversation: str = "conv_id", order: str = "turn",
-    role: str = "role", text: str = "text",
-) -> DataFrame:
-    """Conversations as one row each with ``messages array<struct<role, content>>``.
-
-    For callers that hold bounded conversations; ``last_turns`` gives the last message
-    of conversations of any length without building lists.
-    """
-    item = F.struct(F.col(order).alias("n"), F.col(role).alias("role"), F.col(text).alias("content"))
-    ordered = F.transform(
-        F.array_sort(F.collect_list(item)),
-        lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
-    )
-    return turns.groupBy(conversation).agg(ordered.alias("messages"))
