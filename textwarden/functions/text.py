@@ -12,11 +12,22 @@ from . import fixed_values as fixed
 from .regex import SPACE, java_pattern
 
 PII_TYPES = tuple(name for name, _, _ in fixed.PII_PATTERNS)
-_PII_REGEX = {name: java_pattern(pattern) for name, pattern, _ in fixed.PII_PATTERNS}
-# The same without word boundaries: whatever has a match passes it, and it runs faster.
-_PII_CORE = {
-    name: java_pattern(pattern.replace(r"\b", "")) for name, pattern, _ in fixed.PII_PATTERNS
-}
+# Possessive before the @, which the class before it cannot match: same matches, but no
+# word is tried again from its end.
+_PII_SOURCE = {name: pattern.replace("]+@", "]++@") for name, pattern, _ in fixed.PII_PATTERNS}
+_PII_REGEX = {name: java_pattern(pattern) for name, pattern in _PII_SOURCE.items()}
+
+
+def _core(pattern: str) -> str:
+    """What every match contains, without boundaries and optional beginnings.
+
+    Whatever matches the pattern matches this, which is much faster to look for.
+    """
+    bare = pattern.replace(r"\b", "")
+    return java_pattern(bare[max(bare.find("([0-9]"), 0):])
+
+
+_PII_CORE = {name: _core(pattern) for name, pattern in _PII_SOURCE.items()}
 _PII_TAG = {name: tag for name, _, tag in fixed.PII_PATTERNS}
 
 
@@ -27,25 +38,19 @@ def empty_strings() -> Column:
 # ---- personal data -------------------------------------------------------
 
 def pii_hints(text: Column) -> dict[str, Column]:
-    """Cheap tests that must hold wherever a type can occur at all.
+    """Cheap tests that hold wherever a type can occur at all.
 
-    Each is implied by its pattern, so skipping rows that fail it loses nothing.
-    Texts without personal data then cost two short scans, not five long ones.
+    Each is implied by the patterns it stands for, so skipping rows that fail it loses
+    nothing.  A text without personal data costs a byte search and one short scan, not
+    five long ones.
     """
     return {
         "at": F.contains(text, F.lit("@")),
-        "four": text.rlike(r"\p{Nd}{4}"),
-        "dots": text.rlike(r"\p{Nd}\.\p{Nd}{1,3}\.\p{Nd}"),
+        "digits": text.rlike(r"\p{Nd}(?:\p{Nd}{3}|\.\p{Nd}{1,3}\.\p{Nd})"),
     }
 
 
-_HINT_OF = {
-    "email": "at",
-    "phone": "four",
-    "ssn": "four",
-    "credit_card": "four",
-    "ip_address": "dots",
-}
+_HINT_OF = {name: "at" if name == "email" else "digits" for name in PII_TYPES}
 
 
 def _ten_digit_phone(match: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .stage import ALLOW, BLOCK, Stage, Verdict, add_verdict, result_columns
+from .stage import ALLOW, BLOCK, Stage, Verdict, add_verdict, pinned, result_columns
 
 BLOCKED_BY = "blocked_by"
 CONTINUE, REJECT = "continue", "reject"
@@ -56,10 +56,10 @@ class Chain:
             active = F.lit(True) if position == 0 else F.col(BLOCKED_BY).isNull()
             df = stage.apply(df, text_col, active)
             blocked = F.col(result_columns(stage.name)[0]) == BLOCK
+            # Pinned, or a filter on the outcome would unfold all stages into itself.
             df = df.withColumn(
                 BLOCKED_BY,
-                F.when(blocked, stage.name) if position == 0
-                else F.coalesce(F.col(BLOCKED_BY), F.when(blocked, stage.name)),
+                pinned(F.coalesce(F.col(BLOCKED_BY), F.when(blocked, stage.name))),
             )
         return df
 

@@ -31,6 +31,17 @@ def result_columns(name: str) -> tuple[str, str, str]:
     return f"{name}_result", f"{name}_reason", f"{name}_metadata"
 
 
+def pinned(column: Column) -> Column:
+    """The same value, computed exactly once, in the projection it stands in.
+
+    Catalyst copies a column's expression into every filter it pushes below it.  For
+    regex work, or for a chain in which each stage depends on the ones before, the copies
+    multiply.  It leaves alone what it takes for non-deterministic, as the partition
+    number is.  Filters on other columns therefore belong before screening, not after.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def add_verdict(
     df: DataFrame, name: str, text_col: str, active: Column | None, verdict: Verdict
 ) -> DataFrame:
@@ -74,7 +85,8 @@ class ColumnStage(Stage):
 
     ``facts`` are layers of costly intermediate columns (regex results).  Each layer
     is a projection of its own, so later expressions read a fact instead of computing
-    it again, and each is guarded by ``active``, so blocked rows pay nothing.
+    it again, and each is guarded by ``active``, so blocked rows pay nothing.  Facts are
+    pinned: filters on verdicts do not drag them along.
     """
 
     def __init__(
@@ -95,7 +107,7 @@ class ColumnStage(Stage):
             new = {}
             for key, expr in layer(text, known).items():
                 column = f"__{self.name}_{key}"
-                new[column] = expr if active is None else F.when(active, expr)
+                new[column] = pinned(expr if active is None else F.when(active, expr))
                 known[key] = F.col(column)
             df = df.withColumns(new)
             temporary += new

@@ -45,7 +45,9 @@ def safety_preset(
         pii_screen(redact=True, strict=False),
     ]
     if scorer is not None:
-        options = judge_options or {}
+        # Within an Arrow batch repeats are sent once; that needs no shuffle and already
+        # takes care of texts with very many copies.
+        options = {"share": "batch", **(judge_options or {})}
         stages += [
             Judge(
                 scorer, "You check whether queries fit the allowed topics.", TOPIC_PROMPT, 0.7,
