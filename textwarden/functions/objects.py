@@ -13,11 +13,21 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_OBJECT = "json string, keys array<string>"
+_STRINGS = T.ArrayType(T.StringType())
+_OBJECT = T.StructType().add("json", T.StringType()).add("keys", _STRINGS)
 _VERDICT = (
-    "json string, has_is_safe boolean, unsafe boolean, reason string, confidence double, "
-    "confidence_ok boolean, violations array<string>, violations_ok boolean, metadata_ok boolean"
+    T.StructType()
+    .add("json", T.StringType())
+    .add("has_is_safe", T.BooleanType())
+    .add("unsafe", T.BooleanType())
+    .add("reason", T.StringType())
+    .add("confidence", T.DoubleType())
+    .add("confidence_ok", T.BooleanType())
+    .add("violations", _STRINGS)
+    .add("violations_ok", T.BooleanType())
+    .add("metadata_ok", T.BooleanType())
 )
 
 
@@ -44,7 +54,7 @@ def _is_number(value) -> bool:
 def _verdict_row(text):
     value = _loads(text) if text is not None else None
     if value is None:
-        return (None,) * 9
+        return (None,) * len(_VERDICT)
     confidence = value.get("confidence", 1.0)
     violations = value.get("violations", [])
     violations = list(violations) if isinstance(violations, str) else violations
@@ -76,9 +86,8 @@ def _parse_object(texts: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(_VERDICT)
 def _parse_verdict(texts: pd.Series) -> pd.DataFrame:
-    names = [field.split()[0] for field in _VERDICT.split(", ")]
     rows = [_verdict_row(t) for t in texts]
-    return pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
+    return pd.DataFrame(rows, columns=_VERDICT.fieldNames()).astype(object).where(lambda d: d.notna(), None)
 
 
 def extract_json(text: Column) -> Column:
