@@ -37,8 +37,8 @@ HEADLINES = {
     "rate_limit_hot_user": "events",
     "semantic_topic": "embeddings",
     "model_judge": "documents",
-    "safety_chain": "events",
-    "safety_chain_with_model": "events",
+    "safety_preset": "events",
+    "safety_preset_with_model": "events",
     "rate_limit_streaming": "events",
 }
 

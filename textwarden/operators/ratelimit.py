@@ -333,23 +333,31 @@ class RateLimit(Stage):
         self.user_col, self.ts_col, self.id_col = user_col, ts_col, id_col
         self.hot_rows, self.piece_rows = hot_rows, piece_rows
 
-    # A table smaller than this is never cut: one task handles it in seconds.
+    # A user with fewer rows is never cut: one task handles them in seconds.
     smallest_hot_user = 5_000_000
 
     def _hot_users(self, df: DataFrame) -> tuple[DataFrame, int] | None:
-        """Users over the threshold, at most one per ``hot_rows`` requests, and their limit."""
+        """Users over the threshold, and the threshold.
+
+        One pass over the user column, combined before the shuffle.  Only users above a
+        fixed number of rows reach the driver, so their number is at most the row count
+        divided by it.
+        """
         if self.hot_rows is None or not self.limits.memory:
             return None
+        fixed_limit = self.hot_rows if self.hot_rows != "auto" else self.smallest_hot_user
+        large = F.when(F.col("count") > fixed_limit, F.struct("user", "count"))
+        row = (
+            df.groupBy(user_key(F.col(self.user_col)).alias("user")).count()
+            .agg(F.sum("count").alias("total"), F.collect_list(large).alias("large"))
+            .first()
+        )
+        threshold = fixed_limit
         spark = df.sparkSession
-        counts = df.groupBy(user_key(F.col(self.user_col)).alias("user")).count()
-        threshold = self.hot_rows
-        if threshold == "auto":
-            total = df.count()
-            if total <= self.smallest_hot_user:
-                return None
+        if self.hot_rows == "auto":
             tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-            threshold = max(self.smallest_hot_user, 2 * total // tasks)
-        found = [(r.user,) for r in counts.filter(F.col("count") > threshold).toLocalIterator()]
+            threshold = max(threshold, 2 * (row.total or 0) // tasks)
+        found = [(u.user,) for u in row.large if u["count"] > threshold]
         return (spark.createDataFrame(found, "user string"), threshold) if found else None
 
     def apply(self, df: DataFrame, text_col: str, active: Column | None = None) -> DataFrame:

@@ -49,9 +49,16 @@ PER_MINUTE, PER_HOUR = 1, 2
 TOPIC_THRESHOLD, BLOCK_THRESHOLD, MEAN_THRESHOLD = 0.213, 0.261, 0.0137
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str | Query):
+    """Register a query under its own name or a given one."""
+    if callable(name):
+        return query(name.__name__)(name)
+
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,7 +124,7 @@ def content_code(spark, folder):
     return states.select("doc_id", F.md5(picked.cast("binary")).alias("picked"))
 
 
-@query
+@query("metadata")
 def request_metadata(spark, folder):
     events = read_table(spark, folder, "events")
     extras = F.create_map(
@@ -170,7 +177,7 @@ def _wrapped_props(events: DataFrame) -> DataFrame:
     return events.withColumn("text", text)
 
 
-@query
+@query("extract_json")
 def extract_json_object(spark, folder):
     events = _wrapped_props(read_table(spark, folder, "events"))
     events = events.withColumn("object", extract_json(F.col("text")))
@@ -202,7 +209,7 @@ def _centroids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("cosine_sim")
 def cosine_similarity(spark, folder):
     vectors = read_table(spark, folder, "embeddings")
     centroids = _centroids(spark, folder).select(
@@ -388,7 +395,7 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 _TOPIC_FIELDS = dict(score="similarity_score", topic="matched_topic", threshold="threshold")
 
 
-@query
+@query("embed_column")
 def embed_text(spark, folder):
     docs = embed_column(_documents(spark, folder), "text", letter_embedder)
     letters = [F.col("embedding")[i].cast("int").alias(f"n_{c}") for i, c in enumerate(LETTERS)]
@@ -526,14 +533,18 @@ def fallback_or_warn(spark, folder):
 
 # ---- composition ---------------------------------------------------------
 
-@query
-def verdict_columns(spark, folder):
-    """Apply one check; passed and blocked flags."""
+@query("apply_check")
+def checked_documents(spark, folder):
     docs = apply_check(_documents(spark, folder), va.pii_screen())
-    docs = verdict_flags(docs, "PIIDetection")
+    return _verdict(docs, "PIIDetection", ["doc_id", "text"])
+
+
+@query("verdict_flags")
+def flagged_documents(spark, folder):
+    docs = verdict_flags(va.keyword_safety()(_documents(spark, folder)), "ContentSafety")
     return docs.select(
-        "doc_id", "text", F.col("PIIDetection_passed").alias("passed"),
-        F.col("PIIDetection_blocked").alias("blocked"),
+        "doc_id", F.col("ContentSafety_passed").alias("passed"),
+        F.col("ContentSafety_blocked").alias("blocked"),
     )
 
 
@@ -598,7 +609,7 @@ def select_chain(spark, folder):
     return _verdict(stage(_requests_with_tier(spark, folder)), "Selected", ["id"])
 
 
-@query
+@query("route")
 def route_rows(spark, folder):
     names = _document_chain().names
     accepted, rejected = split(_chained(spark, folder), names)
@@ -608,7 +619,7 @@ def route_rows(spark, folder):
     return route(both, names).select("doc_id", "part", "route")
 
 
-@query
+@query("rejection")
 def rejection_message(spark, folder):
     docs = rejection(_chained(spark, folder), _document_chain().names)
     return docs.select(
@@ -617,7 +628,7 @@ def rejection_message(spark, folder):
     )
 
 
-@query
+@query("replace_on_block")
 def replace_blocked_answer(spark, folder):
     last = ct.last_turns(read_table(spark, folder, "conversations"))
     last = va.output_length(150, 250, truncate=True)(last)
@@ -625,7 +636,7 @@ def replace_blocked_answer(spark, folder):
     return last.select("conv_id", "text")
 
 
-@query
+@query("multi_outcome_route")
 def multi_outcome(spark, folder):
     docs = _chained(spark, folder)
     labels = [("ContentSafety", "reject_unsafe"), ("InputLength", "reject_length")]
@@ -637,7 +648,7 @@ def _preset_log(spark: SparkSession, folder: str) -> DataFrame:
     return chain_(request_log(spark, folder))
 
 
-@query
+@query("safety_preset")
 def safety_chain(spark, folder):
     """The moderate preset over all requests."""
     log = _preset_log(spark, folder)
@@ -647,7 +658,7 @@ def safety_chain(spark, folder):
     )
 
 
-@query
+@query("safety_preset_with_model")
 def safety_chain_with_model(spark, folder):
     chain_ = safety_preset("permissive", word_scorer, per_minute=PER_MINUTE, per_hour=PER_HOUR)
     log = chain_(request_log(spark, folder))
@@ -686,7 +697,7 @@ def _rounded(df: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("guard_metrics")
 def stage_metrics(spark, folder):
     return _rounded(mt.stage_metrics(va.pii_screen()(_documents(spark, folder)), "PIIDetection"))
 

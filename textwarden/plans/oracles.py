@@ -346,7 +346,7 @@ ORACLES: dict[str, str] = {
     "content_code": """
     SELECT doc_id, md5(CASE WHEN lang = 'en' THEN text WHEN lang = 'fr' THEN lower(text)
       WHEN source <> 'src0' THEN reverse(text) ELSE '' END) AS picked FROM documents""",
-    "request_metadata": """
+    "metadata": """
     SELECT event_id, CASE WHEN event_type <> 'click' THEN 2 ELSE 0 END AS fields,
       CASE WHEN event_type <> 'click' THEN CAST(user_id AS VARCHAR) END AS "user" FROM events""",
     "pii_detect": "SELECT doc_id, " + ", ".join(
@@ -361,13 +361,13 @@ ORACLES: dict[str, str] = {
     "truncate_text": """
     SELECT doc_id, CASE WHEN length(text) <= 200 THEN text ELSE substr(text, 1, 197) || '...' END AS text
     FROM documents""",
-    "extract_json_object": f"""
+    "extract_json": f"""
     SELECT event_id, obj IS NOT NULL AS parsed, CAST(obj ->> '$.k' AS INT) AS k,
       array_to_string(json_keys(obj), '|') AS keys FROM ({_OBJECTS})""",
     "strip_html": f"""
     SELECT page_id, regexp_replace(regexp_replace(html, {_q(fixed.TAG_PATTERN)}, '', 'g'),
       {_q(fixed.ENTITY_PATTERN)}, '', 'g') AS text FROM pages""",
-    "cosine_similarity": f"""
+    "cosine_sim": f"""
     WITH {_CENTROIDS} SELECT vec_id, round(s, 6) AS similarity FROM sims WHERE label = t""",
     "render_prompt": """
     SELECT conv_id, turn, 'A ' || role || ' wrote, in turn ' || turn || ':' || chr(10) || text
@@ -453,7 +453,7 @@ ORACLES: dict[str, str] = {
     "rate_limit_batch": _rate_limit("user_id", 1, 2),
     "rate_limit_hot_user": _rate_limit("CASE WHEN event_type <> 'click' THEN user_id END", 2, 5),
     "rate_limit_streaming": _rate_limit("user_id", 1, 2),
-    "embed_text": "SELECT doc_id, " + ", ".join(
+    "embed_column": "SELECT doc_id, " + ", ".join(
         f"length(lower(text)) - length(replace(lower(text), '{c}', '')) AS n_{c}" for c in LETTERS
     ) + " FROM documents",
     "semantic_topic": _semantic(
@@ -498,9 +498,15 @@ ORACLES: dict[str, str] = {
         ELSE result END AS fallback_result,
       CASE WHEN contains(text, '7') THEN 'Checked by length' ELSE reason END AS fallback_reason
     FROM j JOIN documents USING (doc_id)""",
-    "verdict_columns": f"""
-    WITH f AS ({_found("documents")}), {_redaction_steps("f")}
-    SELECT doc_id, clean AS text, len({_types()}) = 0 AS passed, false AS blocked FROM r5""",
+    "apply_check": f"""
+    WITH f AS ({_found("documents")}), {_redaction_steps("f")},
+    t AS (SELECT doc_id, clean AS text, {_types()} AS types FROM r5)
+    SELECT doc_id, text, CASE WHEN len(types) > 0 THEN 'modify' ELSE 'allow' END AS result,
+      CASE WHEN len(types) > 0 THEN 'PII detected and redacted: ' || array_to_string(types, ', ')
+        ELSE 'No PII detected or all PII types allowed' END AS reason FROM t""",
+    "verdict_flags": f"""
+    WITH t AS (SELECT doc_id, len({_violations("text")}) > 0 AS hit FROM documents)
+    SELECT doc_id, NOT hit AS passed, hit AS blocked FROM t""",
     "chain": _CHAIN_RESULT,
     "chain_streaming": _CHAIN_RESULT,
     "conditional": f"""
@@ -524,28 +530,28 @@ ORACLES: dict[str, str] = {
       CASE WHEN n < low THEN 'Input too short (minimum ' || low || ' characters)'
         WHEN n > high THEN 'Input too long (maximum ' || high || ' characters)'
         ELSE 'Input length within limits' END AS reason FROM b""",
-    "route_rows": f"""
+    "route": f"""
     WITH {_CHAIN}
     SELECT doc_id, CASE WHEN blocked_by IS NULL THEN 'accepted' ELSE 'rejected' END AS part,
       CASE WHEN blocked_by IS NULL THEN 'continue' ELSE 'reject' END AS route FROM chained""",
-    "rejection_message": f"""
+    "rejection": f"""
     WITH {_CHAIN}
     SELECT doc_id, blocked_by IS NOT NULL AS rejected,
       CASE WHEN blocked_by IS NOT NULL THEN 'assistant' END AS role,
       CASE WHEN blocked_by IS NOT NULL THEN {_q(fixed.REJECTION_PREFIX)} || {_BLOCK_REASON} END
         AS content FROM chained""",
-    "replace_blocked_answer": f"""
+    "replace_on_block": f"""
     SELECT conv_id, CASE WHEN length(text) < 150 OR role <> 'assistant' THEN {_q(fixed.RETRY_APOLOGY)}
       WHEN length(text) > 250 THEN substr(text, 1, 247) || '...' ELSE text END AS text
     FROM ({_LAST_TURNS})""",
-    "multi_outcome": f"""
+    "multi_outcome_route": f"""
     WITH {_CHAIN}
     SELECT doc_id, CASE blocked_by WHEN 'ContentSafety' THEN 'reject_unsafe'
       WHEN 'InputLength' THEN 'reject_length' ELSE 'continue' END AS route FROM chained""",
-    "safety_chain": _safety(1000, 1, 2) + """
+    "safety_preset": _safety(1000, 1, 2) + """
     SELECT id, text, blocked_by, "InputLength_result", "RateLimit_result", "RateLimit_reason",
       "PromptInjection_result", "PIIDetection_result" FROM safe""",
-    "safety_chain_with_model": _safety(2000, 1, 2) + f""",
+    "safety_preset_with_model": _safety(2000, 1, 2) + f""",
     asked AS (SELECT id, blocked_by, clear, {_DRAWN} AS k FROM safe)
     SELECT id, CASE WHEN clear AND k = 1 THEN 'TopicValidation' ELSE blocked_by END AS blocked_by,
       CASE WHEN clear THEN CASE k WHEN 1 THEN 'block' WHEN 2 THEN 'warn' WHEN 4 THEN 'warn'
@@ -566,7 +572,7 @@ ORACLES: dict[str, str] = {
       CASE WHEN asked THEN CASE WHEN label < 3 THEN 'hateful'
         WHEN label < 5 THEN 'Low confidence concern: harmful' ELSE 'fine' END END AS model_reason
     FROM b""",
-    "stage_metrics": f"""
+    "guard_metrics": f"""
     WITH f AS ({_found("documents")}), t AS (SELECT len({_types()}) > 0 AS hit FROM f)
     SELECT count(*) AS total_checks, 0 AS blocked, count(*) FILTER (WHERE hit) AS modified,
       count(*) FILTER (WHERE NOT hit) AS allowed, 0.0 AS block_rate,
