@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _STRINGS = T.ArrayType(T.StringType())
+_STRINGS_ARROW = pa.list_(pa.string())
 _OBJECT = T.StructType().add("json", T.StringType()).add("keys", _STRINGS)
 _VERDICT = (
     T.StructType()
@@ -73,21 +74,29 @@ def _verdict_row(text):
     )
 
 
-@F.pandas_udf(_OBJECT)
-def _parse_object(texts: pd.Series) -> pd.DataFrame:
-    values = [_loads(t) if t is not None else None for t in texts]
-    return pd.DataFrame(
-        {
-            "json": [None if v is None else json.dumps(v) for v in values],
-            "keys": [None if v is None else list(v) for v in values],
-        }
+@F.arrow_udf(_OBJECT)
+def _parse_object(texts: pa.Array) -> pa.Array:
+    values = [None if t is None else _loads(t) for t in texts.to_pylist()]
+    return pa.StructArray.from_arrays(
+        [
+            pa.array([None if v is None else json.dumps(v) for v in values], pa.string()),
+            pa.array([None if v is None else list(v) for v in values], _STRINGS_ARROW),
+        ],
+        names=_OBJECT.fieldNames(),
     )
 
 
-@F.pandas_udf(_VERDICT)
-def _parse_verdict(texts: pd.Series) -> pd.DataFrame:
-    rows = [_verdict_row(t) for t in texts]
-    return pd.DataFrame(rows, columns=_VERDICT.fieldNames()).astype(object).where(lambda d: d.notna(), None)
+@F.arrow_udf(_VERDICT)
+def _parse_verdict(texts: pa.Array) -> pa.Array:
+    columns = zip(*[_verdict_row(t) for t in texts.to_pylist()])
+    kinds = (
+        pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.float64(), pa.bool_(),
+        _STRINGS_ARROW, pa.bool_(), pa.bool_(),
+    )
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+    if not arrays:
+        arrays = [pa.nulls(0, kind) for kind in kinds]
+    return pa.StructArray.from_arrays(arrays, names=_VERDICT.fieldNames())
 
 
 def extract_json(text: Column) -> Column:

@@ -179,7 +179,7 @@ def _wrapped_props(events: DataFrame) -> DataFrame:
 
 @query("extract_json")
 def extract_json_object(spark, folder):
-    events = _wrapped_props(read_table(spark, folder, "events"))
+    events = _wrapped_props(spread_small(read_table(spark, folder, "events")))
     events = events.withColumn("object", extract_json(F.col("text")))
     return events.select(
         "event_id",
@@ -257,7 +257,7 @@ def output_length(spark, folder):
 
 @query
 def output_format(spark, folder):
-    events = _wrapped_props(read_table(spark, folder, "events"))
+    events = _wrapped_props(spread_small(read_table(spark, folder, "events")))
     events = va.output_format("json", ["k"])(events)
     return _verdict(events, "OutputFormat", ["event_id"], missing="missing_fields")
 

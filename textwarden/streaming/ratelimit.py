@@ -34,30 +34,31 @@ def _keep_judging(limits: Limits, output: list[str]):
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         us, ids, admitted = state.get if state.exists else ([], [], [])
-        us, ids, admitted = list(us), list(ids), list(admitted)
-        for pdf in batches:
-            us += pdf["us"].tolist()
-            ids += pdf["id"].tolist()
+        admitted = list(admitted)
+        known = pd.DataFrame({"us": pd.Series(list(us), dtype="int64"), "id": list(ids)})
+        parts = [known, *(pdf[["us", "id"]] for pdf in batches)]
+        # An empty frame has no type for ids to agree with.
+        parts = [p for p in parts if len(p)] or [known]
+        rows = pd.concat(parts, ignore_index=True).sort_values(["us", "id"], ignore_index=True)
+        times = rows["us"].to_numpy(dtype=np.int64)
         passed = state.getCurrentWatermarkMs() * 1000
-        times = np.asarray(us, dtype=np.int64)
-        order = sorted(range(len(us)), key=lambda i: (us[i], ids[i]))
-        ready = [i for i in order if us[i] <= passed]
-        waiting = [i for i in order if us[i] > passed]
+        ready = int(np.searchsorted(times, passed, side="right"))
         if ready:
-            code, count, admitted = judge_run(times[ready], admitted, limits)
+            code, count, admitted = judge_run(times[:ready], admitted, limits)
             yield pd.DataFrame(
-                {"user": key[0], "id": [ids[i] for i in ready], "us": times[ready],
+                {"user": key[0], "id": rows["id"].iloc[:ready], "us": times[:ready],
                  "code": code, "count": count}
             )[output]
-        if waiting:
-            wake = us[waiting[0]] // 1000 + 1
+        waiting = rows.iloc[ready:]
+        if len(waiting):
+            wake = int(times[ready]) // 1000 + 1
         elif admitted and admitted[-1] + HOUR_US >= passed:
             wake = (admitted[-1] + HOUR_US) // 1000 + 1
         else:
             if state.exists:
                 state.remove()
             return
-        state.update(([us[i] for i in waiting], [ids[i] for i in waiting], admitted))
+        state.update((waiting["us"].tolist(), waiting["id"].tolist(), admitted))
         state.setTimeoutTimestamp(max(wake, state.getCurrentWatermarkMs() + 1))
 
     return judge
