@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -100,7 +101,8 @@ def call_per_text(
     # The keys depend on nothing but the row, so a task that runs again sends each row
     # to the same place.
     hashable = [
-        f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))
+        f.name for f in df.schema
+        if not {"map", "variant"} & set(re.findall(r"\w+", f.dataType.simpleString()))
     ]
     digest = F.coalesce(
         F.sha2(F.col(sent), 256), F.concat(F.lit("-"), F.xxhash64(*hashable).cast("string"))
