@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from textwarden.plans.catalog import QUERIES
+from textwarden.plans.oracles import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -31,11 +33,11 @@ def tables():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    df = contract.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = table(df.columns, df.collect())
-    result = tables.execute(contract.oracle_sql()[name])
+    result = tables.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == table(columns, result.fetchall())
@@ -43,3 +45,8 @@ def test_query(spark, tables, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
