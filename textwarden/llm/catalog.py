@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import language
+from . import language, pii
 
 QUERIES = {
+    "op8_pii": pii.op8_pii,
     "op9_language_id": language.op9_language_id,
 }
 

@@ -66,6 +66,7 @@ def code_points(text: str) -> np.ndarray:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash, wrapping arithmetic."""
+    h = h.astype(np.uint64, copy=False)
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xFF51AFD7ED558CCD)
     h = h ^ (h >> np.uint64(33))

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from .common import annotate, code_points, hash_share, letters_of, mix, per_text
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 DIMENSIONS = 16
 GRAMS = (1, 2, 3, 4)
 # Rows learned from, for each language, in expectation: the bound of the sample.
-ROWS_PER_LANGUAGE = 800
+ROWS_PER_LANGUAGE = 500
 LEAST_STEPS = 400
 PIECE = 1 << 18
 UNKNOWN = "und"
@@ -115,17 +115,16 @@ def train(
     counts: np.ndarray, labels: np.ndarray, languages: list[str], *, epochs: int = 6,
     batch: int = 32, rate: float = 0.5, max_false_rejections: float = 0.001, seed: int = 7,
 ) -> LanguageModel:
-    """Fit on rows of n-gram counts; every fifth row calibrates instead."""
+    """Fit on rows of n-gram counts (float32); every fifth row calibrates instead."""
     rng = np.random.default_rng(seed)
-    x = counts.astype(np.float32)
-    x /= x.sum(axis=1, keepdims=True)
+    x = counts / counts.sum(axis=1, keepdims=True)
     held = np.arange(len(x)) % 5 == 4 if len(x) >= 25 else np.zeros(len(x), dtype=bool)
     rows, k = np.flatnonzero(~held), len(languages)
     # N-grams differ in frequency by orders of magnitude.  Training sees them scaled to
     # like spread and rows of unit length on average; the scale then joins the embeddings.
     scale = 1.0 / np.sqrt(x[rows].mean(axis=0) + 1e-6)
-    scale /= np.sqrt(((x[rows] * scale) ** 2).sum(axis=1).mean())
-    scaled = x * scale
+    scale /= np.sqrt(np.mean([((x[r] * scale) ** 2).sum() for r in rows]))
+    x *= scale
     embed = rng.normal(0, 0.3, (x.shape[1], DIMENSIONS)).astype(np.float32)
     layer = rng.normal(0, 0.3, (DIMENSIONS, k)).astype(np.float32)
     bias = np.zeros(k, np.float32)
@@ -136,16 +135,16 @@ def train(
         for at in range(0, len(rows), batch):
             pick = rows[at:at + batch]
             step = rate * max(0.05, 1 - done / steps)
-            hidden = scaled[pick] @ embed
+            hidden = x[pick] @ embed
             error = (softmax(hidden @ layer + bias) - truth[pick]) / len(pick)
             back = error @ layer.T
             layer -= step * hidden.T @ error
             bias -= step * error.sum(axis=0)
-            embed -= step * (scaled[pick].T @ back)
+            embed -= step * (x[pick].T @ back)
             done += 1
     model = LanguageModel(languages, scale[:, None] * (embed @ layer), bias, 1.0, 0.0)
     test = np.flatnonzero(held) if held.any() else np.arange(len(x))
-    z = x[test] @ model.weights + bias
+    z = x[test] @ (embed @ layer) + bias
     losses = []
     grid = np.geomspace(0.002, 5, 50)
     for t in grid:
@@ -185,19 +184,19 @@ def fit(
             hit = [gram_counts(t) for t in frame["text"]]
             used = [np.flatnonzero(c) for c in hit]
             yield pd.DataFrame({
-                "key": frame["key"], "lang": frame["lang"], "bucket": [u.tolist() for u in used],
-                "n": [c[u].tolist() for c, u in zip(hit, used)],
+                "key": frame["key"], "lang": frame["lang"], "bucket": [u.astype(np.int32).tobytes() for u in used],
+                "n": [c[u].tobytes() for c, u in zip(hit, used)],
             })
 
     found = chosen.mapInPandas(
-        features, "key string, lang string, bucket array<int>, n array<int>"
-    ).where(F.size("bucket") > 0).toPandas()
+        features, "key string, lang string, bucket binary, n binary"
+    ).where(F.length("bucket") > 0).toPandas()
     found = found.assign(order=pd.util.hash_array(found["key"].to_numpy(dtype=object)))
     found = found.sort_values(["order", "key"], ignore_index=True)
     languages = sorted(found["lang"].unique())
     counts = np.zeros((len(found), BUCKETS), dtype=np.float32)
     for i, (bucket, n) in enumerate(zip(found["bucket"], found["n"])):
-        counts[i, np.asarray(bucket, dtype=np.int64)] = n
+        counts[i, np.frombuffer(bucket, np.int32)] = np.frombuffer(n, np.int64)
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     at = {name: i for i, name in enumerate(languages)}
