@@ -18,8 +18,9 @@ def digest_columns(spans: str, kinds: tuple[str, ...]) -> list[Column]:
             array, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     base = F.filter(rows, lambda s: s["base"])
-    counts = [
-        F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in kinds
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == F.lit(kind))).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in kinds]
     return [*counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(rows).alias("spans")]
