@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import language, pieces, pii, secret_scan
+from . import language, near, pieces, pii, secret_scan
 
 QUERIES = {
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op6_secrets": secret_scan.op6_secrets,
+    "op7_near_duplicates": near.op7_near_duplicates,
     "op8_pii": pii.op8_pii,
     "op9_language_id": language.op9_language_id,
 }
