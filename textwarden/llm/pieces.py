@@ -194,7 +194,9 @@ class Encoder:
         self.model = parse_model(raw)
         self.tokenizer = build_tokenizer(self.model)
         self.reference = build_reference(self.model)
-        self.words: dict[str, tuple[np.ndarray, bool]] = {}
+        self.words: dict[str, bytes] = {}
+        self.differing: set[str] = set()
+        self.marked = np.array([p.startswith(MARK) for p in self.model.pieces])
         self.lone = self.tokenizer.token_to_id(MARK)
         self.by_words = self.model.by_words and not self.model.trim and self.lone is not None
 
@@ -204,40 +206,53 @@ class Encoder:
         want = self.reference.encode(texts, num_threads=self.threads)
         return [(np.array(g.ids, dtype=np.int32), g.ids == w) for g, w in zip(got, want)]
 
+    def _learn(self, fresh: list[str]) -> None:
+        """Encode new words, each with its markers in front, many in one call."""
+        # A word behind one marker starts with the only token that begins with a marker, so
+        # such words can be encoded side by side and told apart afterwards.
+        plain = [w for w in fresh if len(w) > 1 and w[1] != " "]
+        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
+        rest = [w for w in fresh if len(w) > 1 and w[1] == " "]
+        # The encoders put the first marker back.
+        for words, (ids, same) in zip(groups, self._encode(["".join(g)[1:] for g in groups])):
+            starts = np.flatnonzero(self.marked[ids])
+            if same and len(starts) == len(words):
+                data, ends = ids.tobytes(), [*(starts[1:] * 4).tolist(), 4 * len(ids)]
+                self.words.update(
+                    (w, data[i:j]) for w, i, j in zip(words, (starts * 4).tolist(), ends))
+            else:
+                rest += words
+        for word, (ids, same) in zip(rest, self._encode([w[1:] for w in rest])):
+            self.words[word] = ids.tobytes()
+            if not same:
+                self.differing.add(word)
+        self.words[" "] = np.array([self.lone], dtype=np.int32).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
         texts = [t or "" for t in texts]
         if not self.by_words:
             return self._encode(texts)
-        # A word is a run of markers and what follows; the text has one put before it.
-        parts = [_WORD.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        none = np.zeros(0, dtype=np.int32)
-        out, at = [], 0
-        while at < len(texts):
-            # As many texts as bring a bounded number of new words, one at least.
-            fresh: dict[str, None] = {}
-            stop = at
-            while stop < len(texts) and (stop == at or len(fresh) < 50_000):
-                fresh.update((w, None) for w in parts[stop] if w not in self.words)
-                stop += 1
+        out = []
+        for at in range(0, len(texts), 64):
+            # A word is a run of markers and what follows; the text has one put before it.
+            parts = [_WORD.findall(" " + t.replace(MARK, " ")) if t else []
+                     for t in texts[at:at + 64]]
+            fresh = {w for p in parts for w in p if w not in self.words}
             if len(self.words) + len(fresh) > self.cache:
-                self.words = {}
-                fresh = dict.fromkeys(w for p in parts[at:stop] for w in p)
-            # The encoders put the first marker back; a lone marker has a piece of its own.
-            new = [w for w in fresh if w != " "]
-            self.words.update(zip(new, self._encode([w[1:] for w in new])))
-            if " " in fresh:
-                self.words[" "] = np.array([self.lone], dtype=np.int32), True
-            words = self.words
-            for p in parts[at:stop]:
-                hits = [words[w] for w in p]
-                out.append((np.concatenate([h[0] for h in hits]) if hits else none,
-                            all(h[1] for h in hits)))
-            at = stop
+                self.words, self.differing = {}, set()
+                fresh = {w for p in parts for w in p}
+            self._learn(sorted(fresh))
+            known = self.words.__getitem__
+            out += [(np.frombuffer(b"".join(map(known, p)), dtype=np.int32),
+                     not self.differing or self.differing.isdisjoint(p)) for p in parts]
         return out
 
     def decode(self, ids: list[np.ndarray | None]) -> list[str]:
-        lists = [[] if i is None else np.asarray(i).tolist() for i in ids]
-        return self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        out = []
+        for at in range(0, len(ids), 64):
+            lists = [[] if i is None else np.asarray(i).tolist() for i in ids[at:at + 64]]
+            out += self.tokenizer.decode_batch(lists, skip_special_tokens=False)
+        return out
 
 
 _WORD = re.compile(r" +[^ ]*")
