@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import language, near, pieces, pii, secret_scan
+from . import language, near, neighbours, pieces, pii, secret_scan
 
 QUERIES = {
+    "op1_nearest": neighbours.op1_nearest,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_near_duplicates": near.op7_near_duplicates,
