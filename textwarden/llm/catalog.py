@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import language, near, neighbours, pieces, pii, secret_scan
+from . import language, near, neighbours, pieces, pii, secret_scan, toxicity
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
     "op3_sentencepiece": pieces.op3_sentencepiece,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_near_duplicates": near.op7_near_duplicates,
     "op8_pii": pii.op8_pii,
