@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples.
 
-Labelled examples, a bounded sample of each class, are TF-IDF vectors over the terms that
-tell the classes apart.  Their inverted index is cut into blocks of examples, and each term
+Labelled examples, a bounded sample of each class, are TF-IDF vectors over the terms
+(words and word beginnings) that tell the classes apart.  Their inverted index is cut into blocks of examples, and each term
 knows its largest weight in every block.  A text's nearest examples by cosine are found
 exactly: blocks are visited by falling upper bound, until no bound left can reach the
 ``NEIGHBOURS``-th best similarity.  Neighbours vote with weights that grow with similarity
@@ -41,11 +41,19 @@ NEIGHBOURS = 25
 PRIOR_WEIGHT = 0.5
 SCHEMA = ("score double, neighbours array<long>, similarities array<double>, "
           "labels array<int>")
+PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
 
 def term_counts(text: str | None) -> Counter:
-    return Counter(_WORD.findall(text.lower())) if text else Counter()
+    """Counts of words, and of word beginnings, marked by a dash, for inflected forms."""
+    words = Counter(_WORD.findall(text.lower())) if text else Counter()
+    out = Counter(words)
+    for word, n in words.items():
+        for size in PREFIXES:
+            if len(word) > size:
+                out[word[:size] + "-"] += n
+    return out
 
 
 @dataclass
