@@ -6,14 +6,12 @@ rounds give each bin still empty the smallest hash of all shingles, so every coo
 filled and the share of equal coordinates is as concentrated around the Jaccard similarity
 as with independent samples.  ``ROWS`` coordinates make a band; sets of one band value are
 candidates.  At a similarity of 0.8 a pair shares none of the ``BANDS`` bands with
-probability 2e-6.  One byte of each of ``BYTES`` coordinates rules out pairs whose estimate
-is under ``similarity - 0.2`` (chance of a wrong loss 1e-8); the rest is verified on the full
-shingle sets of the texts.
+probability 2e-6.  One bit of each of ``BITS`` coordinates rules out pairs whose estimate is
+under ``similarity - MARGIN`` (for a pair of just that similarity a deviation of 4.9, chance
+6e-7); the rest is verified on the full shingle sets of the texts.
 
-Equal sets are one node.  Links are first sought between each band value's most popular
-member and the others; band values whose members are then in one component need nothing
-more, in all others every pair across components is a candidate.  So no group of copies is
-expanded into its pairs, and no link between different components is lost.
+Equal sets are one node.  ``linking`` seeks links so that no group of copies is expanded
+into its pairs and no link between different components is lost.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with
 nothing; a null id takes no part and keeps its row, without a component; rows of one id
@@ -27,14 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, stored, table
-from .components import components
+from .linking import link_components, shared_members
 from .shingles import shingle_set
 
-ROWS, BANDS, BYTES = 7, 56, 128
+ROWS, BANDS, BITS = 7, 56, 384
+MARGIN = 0.15
 _MASK = np.uint64(0xFFFFFFFF)
 _SEEDS = mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -65,8 +64,14 @@ def bands(filled: np.ndarray) -> np.ndarray:
     return key
 
 
+def _packed(filled: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, as signed integers of 64."""
+    bits = (mix(filled[:BITS]) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def _describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row: id, set size, 128-bit set hash, bands and the bytes for the estimate."""
+    """Per row: id, set size, 128-bit set hash, bands and the bits for the estimate."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -80,29 +85,27 @@ def _describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 second = int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                 filled = sketch(s)
                 rows.append((len(s), first, second, bands(filled).view(np.int64),
-                             (mix(filled[:BYTES]) & np.uint64(255)).astype(np.uint8).tobytes()))
-            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "bands", "bytes"])
+                             _packed(filled)))
+            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "bands", "bits"])
             out.insert(0, "id", frame["id"].to_numpy())
             yield out
 
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
-        run, "id long, n long, h1 long, h2 long, bands array<long>, bytes binary")
+        run, "id long, n long, h1 long, h2 long, bands array<long>, bits array<long>")
+
 
+def _likely(least: float):
+    """Condition on two nodes' ``bits``: estimated similarity of at least ``least``.
 
-def _likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Candidate pairs (a, b) whose estimated similarity is at least ``least``."""
+    Bits of equal coordinates agree, others do so half the time.
+    """
+    most = int((1 - least) / 2 * BITS)
 
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype=float)
-        one = np.frombuffer(b"".join(x), np.uint8).reshape(-1, BYTES)
-        two = np.frombuffer(b"".join(y), np.uint8).reshape(-1, BYTES)
-        return pd.Series((one == two).mean(axis=1))
+    def condition(one, two) -> Column:
+        gap = lambda i: F.bit_count(one("bits")[i].bitwiseXOR(two("bits")[i]))
+        return sum((gap(i) for i in range(1, BITS // 64)), gap(0)) <= most
 
-    sides = nodes.select("node", "bytes")
-    rows = pairs.join(sides.toDF("a", "one"), "a").join(sides.toDF("b", "two"), "b")
-    measure = F.pandas_udf(alike, "double")
-    return rows.where(measure("one", "two") >= least).select("a", "b")
+    return condition
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -134,36 +137,17 @@ def near_duplicates(
     sets = filled.groupBy("h1", "h2").agg(F.min("id").alias("node"))
     nodes = stored(
         filled.join(sets, ["h1", "h2"]).where("id = node")
-        .select("node", "bands", "bytes").dropDuplicates(["node"]))
-
-    rows = nodes.select(F.explode("bands").alias("band"), "node")
-    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(rows.join(shared, "band"))
-    popular = members.groupBy("node").agg(F.sum("n").alias("popularity"))
-    hubs = members.join(popular, "node").groupBy("band").agg(
-        F.max_by(F.struct("node"), F.struct("popularity", -F.col("node"))).alias("hub"))
-    stars = members.join(hubs, "band").select(
-        F.col("hub.node").alias("b"), F.col("node").alias("a")).where("a <> b").distinct()
+        .select("node", "bands", "bits").dropDuplicates(["node"]))
+
+    members = shared_members(nodes.select(F.explode("bands").alias("band"), "node"))
     texts = stored(
         docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
         .where("node is not null and text is not null")
         .join(members.select("node").distinct(), "node", "left_semi"))
 
-    least = percent / 100 - 0.2
-    links = stored(_verified(_likely(stars, nodes, least), texts, words, percent))
-    parts = components(links)
-    placed = members.join(parts, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component"))
-    open_bands = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = stored(placed.join(open_bands.select("band"), "band"))
-    one, two = placed.toDF("band", "a", "ca"), placed.toDF("band", "b", "cb")
-    across = one.join(two, "band").where("ca < cb").select("a", "b").distinct()
-    across = across.join(
-        stars.select(F.col("a"), F.col("b")).union(stars.select("b", "a")), ["a", "b"], "left_anti")
-    more = _verified(_likely(across, nodes, least), texts, words, percent)
-    parts = components(links.union(more))
-
+    parts = link_components(
+        members, nodes.select("node", "bits"), _likely(percent / 100 - MARGIN),
+        lambda pairs: _verified(pairs, texts, words, percent), rounds=3)
     whole = sets.join(parts, "node", "left").select(
         "h1", "h2", F.coalesce("component", "node").alias("component"))
     return described.join(
