@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, near, neighbours, pieces, pii, secret_scan, toxicity
+from . import language, lines, near, neighbours, pieces, pii, secret_scan, toxicity
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_near_duplicates": near.op7_near_duplicates,
     "op8_pii": pii.op8_pii,
     "op9_language_id": language.op9_language_id,
+    "op10_lines": lines.op10_lines,
 }
 
 ORACLES: dict[str, str] = {}
