@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import language, lines, near, neighbours, pieces, pii, secret_scan, toxicity
+from . import language, lines, near, neighbours, pieces, pii, secret_scan, templates, toxicity
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
+    "op2_decontamination": templates.op2_decontamination,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_secrets": secret_scan.op6_secrets,
