@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import language, lines, near, neighbours, pieces, pii, secret_scan, templates, toxicity
+from . import language, lines, near, neighbours, pieces, pii, repeats, secret_scan, templates, toxicity
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
     "op2_decontamination": templates.op2_decontamination,
     "op3_sentencepiece": pieces.op3_sentencepiece,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_repeats": repeats.op5_repeats,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_near_duplicates": near.op7_near_duplicates,
     "op8_pii": pii.op8_pii,
