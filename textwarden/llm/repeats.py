@@ -92,11 +92,10 @@ def suffix_array(t: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np.nd
     n = len(t)
     order = np.zeros(n, dtype=np.int64)
     # Does the suffix grow towards its successor?  Equal bytes go by the next that differs.
-    after = np.append(t[1:], 0).astype(np.int16)
+    after = np.append(t[1:].astype(np.int16), -1)
     differs = np.flatnonzero(t != after)
     nearest = differs[np.minimum(np.searchsorted(differs, np.arange(n)), len(differs) - 1)]
     small = t[nearest] < after[nearest]
-    small[n - 1] = False
     size = np.bincount(t, minlength=256)
     head = np.concatenate([[0], np.cumsum(size)])
     # Stage one: sort the small ones directly, by eight bytes at a time.
