@@ -37,7 +37,7 @@ def link_components(
 
     First each band's most popular member (that of most shared bands, counted by their
     sizes) is paired with the others.  A band whose members are then in one component is
-    done.  The others are given ``rounds`` more members, chosen by hash, and in what is
+    done.  The others are given ``rounds`` more members (of the largest component, by hash), and in what is
     still open all likely pairs across components are tried.  So every likely pair that
     shares a band is linked, found to be no link, or already connected, while a group of
     copies costs a few pairs for each of its members.
@@ -58,10 +58,13 @@ def link_components(
     links = tried(members.join(hubs, "band").where("hub <> node").select(
         F.col("node").alias("a"), F.col("hub").alias("b")))
     for turn in range(rounds):
-        open_ = _open(members, components(links))
-        hubs = open_.groupBy("band").agg(
-            F.max_by(F.struct("node", "component"), F.xxhash64("node", "band", F.lit(turn)))
-            .alias("hub"))
+        parts = components(links)
+        open_ = _open(members, parts)
+        # The hub comes from the largest component, so only what is outside it is tried.
+        sizes = parts.groupBy("component").agg(F.count("*").alias("size"))
+        hubs = open_.join(sizes, "component", "left").groupBy("band").agg(
+            F.max_by(F.struct("node", "component"), F.struct(
+                F.coalesce("size", F.lit(1)), F.xxhash64("node", F.lit(turn)))).alias("hub"))
         links = links.union(tried(open_.join(hubs, "band").where("component <> hub.component")
                                   .select(F.col("node").alias("a"), F.col("hub.node").alias("b"))))
     parts = components(links)
