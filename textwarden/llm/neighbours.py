@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_share, stored, table
 
-SAMPLE = 16_384  # rows the index is fitted on, in expectation
+SAMPLE = 8_192  # rows the index is fitted on, in expectation
 LISTS = (8, 4096)  # fewest and most lists; between them the root of the number of rows
 DEGREE = 16
 REPLICAS, REPLICA_RATIO = 4, 1.15
@@ -55,6 +55,9 @@ class Index:
         distances; rows advance together."""
         n, c = len(x), len(self.centroids)
         want = min(want, c)
+        if n > 256:
+            parts = [self.search(x[at:at + 256], want) for at in range(0, n, 256)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         norms = (self.centroids**2).sum(1)
         found = np.full((n, c), np.inf)
         spread = np.unique(np.linspace(0, c - 1, min(c, 2 * DEGREE)).astype(int))
