@@ -131,7 +131,7 @@ def test_replace_on_block(run_text):
 
     rows = run_text(answer, ["OK", "a good long answer", "a good long answer"],
                     failed=["no", "no", "yes"])
-    assert rows[0]["text"].startswith("I apologize") and rows[2]["text"].startswith("I apologize")
+    assert rows[0]["text"].startswith("I apologize") and rows[2]["text"].startswith("I'm sorry")
     assert rows[1]["text"] == "a good long answer"
 
 

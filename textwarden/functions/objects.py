@@ -43,20 +43,30 @@ def json_slice(text: Column) -> Column:
 def _loads(text):
     try:
         value = json.loads(text)
+        json.dumps(value)  # what nests too deep to be written again is no object either
     except (ValueError, RecursionError):
         return None
     return value if isinstance(value, dict) else None
 
 
-def _is_number(value) -> bool:
-    return isinstance(value, (int, float))
+def _number(value) -> float | None:
+    """The value as a double; None for what is no number or too large for one."""
+    try:
+        return float(value) if isinstance(value, (int, float)) else None
+    except OverflowError:
+        return None
+
+
+def _storable(text: str) -> str:
+    """Lone surrogates, which JSON escapes can name, become question marks."""
+    return text.encode("utf-8", "replace").decode()
 
 
 def _verdict_row(text):
     value = _loads(text) if text is not None else None
     if value is None:
         return (None,) * len(_VERDICT)
-    confidence = value.get("confidence", 1.0)
+    confidence = _number(value.get("confidence", 1.0))
     violations = value.get("violations", [])
     violations = list(violations) if isinstance(violations, str) else violations
     listed = isinstance(violations, list) and all(isinstance(v, str) for v in violations)
@@ -65,10 +75,10 @@ def _verdict_row(text):
         json.dumps(value),
         "is_safe" in value,
         not value.get("is_safe", True),
-        reason if isinstance(reason, str) else str(reason),
-        float(confidence) if _is_number(confidence) else None,
-        _is_number(confidence),
-        violations if listed else None,
+        _storable(reason if isinstance(reason, str) else str(reason)),
+        confidence,
+        confidence is not None,
+        [_storable(v) for v in violations] if listed else None,
         listed,
         isinstance(value.get("metadata", {}), dict),
     )
@@ -80,7 +90,7 @@ def _parse_object(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(
         [
             pa.array([None if v is None else json.dumps(v) for v in values], pa.string()),
-            pa.array([None if v is None else list(v) for v in values], _STRINGS_ARROW),
+            pa.array([None if v is None else [_storable(k) for k in v] for v in values], _STRINGS_ARROW),
         ],
         names=_OBJECT.fieldNames(),
     )

@@ -23,9 +23,48 @@ _CLASSES = {
 }
 
 
+_ITEM = re.compile(
+    r"\\(?P<escape>.)|(?P<named>\(\?P<(?P<name>\w+)>)|\(\?P=(?P<same>\w+)\)|(?P<refused>\(\?P>|\(\?\()"
+    r"|(?P<set>\[\^?\]?)|(?P<rest>.)", re.DOTALL)
+_IN_SET = re.compile(r"\\(?P<escape>.)|(?P<end>\])|(?P<odd>\[|&&)|(?P<rest>.)", re.DOTALL)
+
+
 def java_pattern(pattern: str) -> str:
-    r"""Spell out ``\b \d \s \S \w \W``; everything else is common to both."""
-    return re.sub(r"\\(.)", lambda m: _CLASSES.get(m[1], m[0]), pattern, flags=re.DOTALL)
+    r"""The pattern in Java notation with Python's meaning.
+
+    ``\b \d \s \S \w \W`` are spelled out, ``\Z`` is the very end, ``.`` and ``$`` know only
+    line feeds, groups may be named Python's way, and ``[``, ``&&`` and ``\b`` in a set are
+    plain characters.  Patterns that Python refuses, or that only it has, are errors here.
+    """
+    re.compile(pattern)
+    out, at = ["(?d)"], 0
+    names: dict[str, str] = {}
+    while at < len(pattern):
+        m = _ITEM.match(pattern, at)
+        at = m.end()
+        if m["escape"]:
+            out.append(r"\z" if m["escape"] == "Z" else _CLASSES.get(m["escape"], m[0]))
+        elif m["named"]:
+            out.append(f"(?<{names.setdefault(m['name'], f'g{len(names)}')}>")
+        elif m["same"]:
+            out.append(rf"\k<{names[m['same']]}>")
+        elif m["refused"]:
+            raise ValueError(f"no equivalent for {m[0]} in {pattern!r}")
+        elif m["set"]:
+            # A bracket right after the start is a member of the set.
+            out.append(m["set"].replace("]", r"\]"))
+            while (m := _IN_SET.match(pattern, at)) and not m["end"]:
+                at = m.end()
+                if m["escape"]:
+                    inner = r"\x08" if m["escape"] == "b" else _CLASSES.get(m["escape"], m[0])
+                    out.append(inner)
+                else:
+                    out.append("".join("\\" + c for c in m["odd"]) if m["odd"] else m[0])
+            out.append("]")
+            at = m.end()
+        else:
+            out.append(m[0])
+    return "".join(out)
 
 
 def literal_start(pattern: str) -> str:

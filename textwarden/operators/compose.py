@@ -234,12 +234,15 @@ def replace_on_block(
     text_col: str = "text",
     apology: str = fixed.RETRY_APOLOGY,
     error: Column | None = None,
+    error_apology: str = fixed.ERROR_APOLOGY,
 ) -> DataFrame:
-    """Answer with a fixed apology where the stage blocked or processing failed."""
-    bad = _blocked([name])
-    if error is not None:
-        bad = bad | F.coalesce(error, F.lit(False))
-    return df.withColumn(text_col, F.when(bad, F.lit(apology)).otherwise(F.col(text_col)))
+    """Answer with one fixed apology where processing failed, another where the stage blocked."""
+    failed = F.lit(False) if error is None else F.coalesce(error, F.lit(False))
+    return df.withColumn(
+        text_col,
+        F.when(failed, F.lit(error_apology)).when(_blocked([name]), F.lit(apology))
+        .otherwise(F.col(text_col)),
+    )
 
 
 def multi_outcome_route(

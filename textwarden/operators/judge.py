@@ -69,11 +69,16 @@ def parse_verdict(reply: Column, fields: Column | None = None) -> dict[str, Colu
     }
 
 
+def reaches(score: Column, threshold: float) -> Column:
+    """Score at the threshold or above; NaN, which Spark orders last, is not."""
+    return ~F.isnan(score) & (score >= threshold)
+
+
 def verdict_threshold(
     parsed: Mapping[str, Column], threshold: float, reply: Column
 ) -> Verdict:
     """Block what is unsafe with enough confidence, warn below it, allow the rest."""
-    safe, sure = parsed["is_safe"], parsed["confidence"] >= threshold
+    safe, sure = parsed["is_safe"], reaches(parsed["confidence"], threshold)
     return Verdict(
         F.when(safe, ALLOW).when(sure, BLOCK).otherwise(WARN),
         F.when(safe | sure, parsed["reason"]).otherwise(
@@ -262,7 +267,7 @@ class ContentSafetyJudge(Judge):
     def decide(self, reply: Column, fields: Column, error: Column) -> Verdict:
         unsafe = F.coalesce(fields["unsafe"], F.lit(False))
         listed = F.array_join(fields["violations"], ", ")
-        sure = fields["confidence"] >= self.threshold
+        sure = reaches(fields["confidence"], self.threshold)
         problem = F.when(unsafe & ~fields["confidence_ok"], "reply confidence is not a number").when(
             unsafe & ~fields["violations_ok"], "reply violations are not a list of strings"
         )

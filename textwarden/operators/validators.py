@@ -46,11 +46,12 @@ def _length_stage(
     count_by: str,
     full_metadata: bool,
 ) -> Stage:
-    if truncate and max_length and max_length < len(fixed.TRUNCATION_SUFFIX):
+    if truncate and max_length is not None and max_length < len(fixed.TRUNCATION_SUFFIX):
         raise ValueError(f"max_length {max_length} is shorter than the truncation suffix")
 
     def facts(text: Column, _: dict[str, Column]) -> dict[str, Column]:
-        return {"length": tx.text_length(text, count_by)}
+        # An absent text is an empty one.
+        return {"length": tx.text_length(F.coalesce(text, F.lit("")), count_by)}
 
     def decide(text: Column, known: dict[str, Column]) -> Verdict:
         length = known["length"]
@@ -76,7 +77,7 @@ def _length_stage(
             .when(over, on_over[1])
             .otherwise(fine),
             F.struct(*[value.alias(key) for key, value in fields.items()]),
-            tx.truncate_text(text, max_length) if truncate and max_length else None,
+            tx.truncate_text(text, max_length) if truncate and max_length is not None else None,
         )
 
     return ColumnStage(name, decide, [facts])

@@ -35,7 +35,7 @@ from ..operators.similarity import SemanticAllowBlock, SemanticTopic, embed_colu
 from ..operators.stage import ALLOW, BLOCK, Stage, Verdict, custom_stage, result_columns
 from ..session import scratch_folder
 from ..sources import content as ct
-from ..sources.tables import read_table, request_log, spread_small
+from ..sources.tables import read_table, request_log
 from ..streaming.ratelimit import rate_limit_stream
 from ..streaming.runs import read_stream, run_available
 from .presets import output_preset, safety_preset
@@ -62,7 +62,7 @@ def query(name: str | Query):
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_small(read_table(spark, folder, "documents")).select(
+    return read_table(spark, folder, "documents").select(
         "doc_id", "text", "lang", "source"
     )
 
@@ -179,7 +179,7 @@ def _wrapped_props(events: DataFrame) -> DataFrame:
 
 @query("extract_json")
 def extract_json_object(spark, folder):
-    events = _wrapped_props(spread_small(read_table(spark, folder, "events")))
+    events = _wrapped_props(read_table(spark, folder, "events"))
     events = events.withColumn("object", extract_json(F.col("text")))
     return events.select(
         "event_id",
@@ -191,7 +191,7 @@ def extract_json_object(spark, folder):
 
 @query
 def strip_html(spark, folder):
-    pages = spread_small(read_table(spark, folder, "pages"))
+    pages = read_table(spark, folder, "pages")
     return pages.select("page_id", tx.strip_html(F.col("html")).alias("text"))
 
 
@@ -257,7 +257,7 @@ def output_length(spark, folder):
 
 @query
 def output_format(spark, folder):
-    events = _wrapped_props(spread_small(read_table(spark, folder, "events")))
+    events = _wrapped_props(read_table(spark, folder, "events"))
     events = va.output_format("json", ["k"])(events)
     return _verdict(events, "OutputFormat", ["event_id"], missing="missing_fields")
 
@@ -405,14 +405,9 @@ def embed_text(spark, folder):
 @query
 def semantic_topic(spark, folder):
     stage = SemanticTopic(_centroids(spark, folder), TOPIC_THRESHOLD)
-    judged = stage(_vectors(spark, folder))
-    out = _verdict(judged, "SemanticSimilarity", ["vec_id"], **_TOPIC_FIELDS).drop("reason")
-    sims = judged.select(
-        "vec_id",
-        F.round(F.aggregate("SemanticSimilarity_metadata.all_similarities", F.lit(0.0),
-                            lambda a, x: a + x), 6).alias("total"),
-    )
-    return out.join(sims, "vec_id")
+    judged = stage(_vectors(spark, folder)).withColumn("total", F.round(F.aggregate(
+        "SemanticSimilarity_metadata.all_similarities", F.lit(0.0), lambda a, x: a + x), 6))
+    return _verdict(judged, "SemanticSimilarity", ["vec_id", "total"], **_TOPIC_FIELDS).drop("reason")
 
 
 @query

@@ -541,7 +541,8 @@ ORACLES: dict[str, str] = {
       CASE WHEN blocked_by IS NOT NULL THEN {_q(fixed.REJECTION_PREFIX)} || {_BLOCK_REASON} END
         AS content FROM chained""",
     "replace_on_block": f"""
-    SELECT conv_id, CASE WHEN length(text) < 150 OR role <> 'assistant' THEN {_q(fixed.RETRY_APOLOGY)}
+    SELECT conv_id, CASE WHEN role <> 'assistant' THEN {_q(fixed.ERROR_APOLOGY)}
+      WHEN length(text) < 150 THEN {_q(fixed.RETRY_APOLOGY)}
       WHEN length(text) > 250 THEN substr(text, 1, 247) || '...' ELSE text END AS text
     FROM ({_LAST_TURNS})""",
     "multi_outcome_route": f"""

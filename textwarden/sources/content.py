@@ -54,11 +54,11 @@ def last_turns(
 ) -> DataFrame:
     """The last turn of each conversation kept one row per turn.
 
-    ``max_by`` is combined before the shuffle, so a conversation of any length
+    The maximum is combined before the shuffle, so a conversation of any length
     sends one row per input partition.
     """
-    return turns.groupBy(conversation).agg(
-        F.max(order).alias(order),
-        F.max_by(role, order).alias(role),
-        F.max_by(text, order).alias(text),
+    last = turns.groupBy(conversation).agg(
+        # One row wins whole; equal turns are told apart by role and text.
+        F.max(F.struct(order, role, text)).alias("__last")
     )
+    return last.select(conversation, "__last.*")

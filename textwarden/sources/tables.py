@@ -5,28 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Below this much data per core a table is spread over all cores first: one file with a
-# single row group would otherwise keep one core busy with all its regex work.
-_SMALL_SHARE = 16 << 20
-
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Repartition a small table for work that is heavy per row; leave large ones alone.
-
-    Size is the optimizer's estimate.  A table of many row groups is already split by
-    the scan and is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= cores * _SMALL_SHARE:
-        return df
-    return df.repartition(cores)
-
-
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     """Requests made of the tables at hand: each event sends a whole document.
 
