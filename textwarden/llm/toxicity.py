@@ -35,8 +35,8 @@ from .common import annotate, hash_share, table
 PER_CLASS = 1500
 TERMS = 4000
 # A term must occur in so many examples, and differ between classes by so many deviations.
-LEAST_EXAMPLES, LEAST_Z = 5, 3.5
-BLOCK = 64
+LEAST_EXAMPLES, LEAST_Z = 5, 4.0
+BLOCK = 256
 NEIGHBOURS = 25
 PRIOR_WEIGHT = 0.5
 SCHEMA = ("score double, neighbours array<long>, similarities array<double>, "
@@ -105,8 +105,8 @@ class ToxicityModel:
         upper = weights @ self.bounds[terms]
         order = np.argsort(-upper, kind="stable")
         best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for first in range(0, len(order), 4):
-            some = order[first:first + 4]
+        for first in range(0, len(order), 2):
+            some = order[first:first + 2]
             # No block from here on can hold a nearer example (a rounding error aside).
             if upper[some[0]] <= 0 or (len(best) == k and upper[some[0]] < best[-1] - 1e-12):
                 break
