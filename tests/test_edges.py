@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from textwarden.functions import fixed_values as fixed
 from textwarden.functions.objects import extract_json, read_verdict
 from textwarden.functions.regex import java_pattern
-from textwarden.operators.compose import replace_on_block
+from textwarden.operators.compose import replace_on_block, routed
 from textwarden.operators.judge import parse_verdict, verdict_threshold
-from textwarden.operators.validators import input_length, output_length
+from textwarden.operators.validators import input_length, keyword_lexicon, output_length
 from textwarden.sources.content import last_turns
 
 
@@ -71,3 +71,22 @@ def test_last_turn_is_one_row(spark):
         "conv_id long, turn long, role string, text string")
     row = last_turns(df).first()
     assert (row["role"], row["text"]) == ("user", "b") and row["turn"] == 2
+
+
+def test_lexicon_of_ten_thousand_words(spark, run_text):
+    words = [(f"c{i % 3}", f"Word{i}x") for i in range(10_000)] + [("c0", "kill"), ("c9", "kill"), (None, "the")]
+    stage = keyword_lexicon(spark.createDataFrame(words, "category string, keyword string"))
+    rows = run_text(stage, ["a skill", "xWORD77x word78x", "word77", None, ""])
+    assert [r["ContentSafety_result"] for r in rows] == ["block", "block", "allow", "allow", "allow"]
+    assert rows[0]["ContentSafety_metadata"]["violations"] == ["c0", "c9"]
+    assert rows[1]["ContentSafety_metadata"]["violations"] == ["c0", "c2"]
+    with pytest.raises(ValueError):
+        keyword_lexicon(spark.createDataFrame(words, "category string, keyword string"), most_words=10)
+
+
+def test_routed_asks_once(spark):
+    """A verdict that differs each time it is computed still puts every row in one half."""
+    df = spark.range(2000).withColumn("X_result", F.when(F.rand() < 0.5, "block").otherwise("allow"))
+    accepted, rejected = routed(df, ["X"])
+    assert sorted(r["id"] for r in accepted.union(rejected).collect()) == list(range(2000))
+    assert accepted.where("X_result = 'block'").count() == 0 == rejected.where("X_result <> 'block'").count()

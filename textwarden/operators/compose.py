@@ -6,8 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed_values as fixed
+from ..session import scratch_folder
 from .stage import ALLOW, BLOCK, Stage, Verdict, add_verdict, pinned, result_columns
 
 BLOCKED_BY = "blocked_by"
@@ -197,6 +199,20 @@ def split(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     return df.filter(~_blocked(names)), df.filter(_blocked(names))
 
 
+def routed(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected rows of one computation.
+
+    The rows are written once to the shared scratch folder, in a part per route, and both
+    halves are read back: a model is asked once, and no row can be in both or neither.
+    """
+    folder = scratch_folder(df.sparkSession)
+    route(df, names, "__route").write.partitionBy("__route").parquet(folder)
+    kept = df.sparkSession.read.schema(
+        T.StructType([*df.schema.fields, T.StructField("__route", T.StringType())])).parquet(folder)
+    halves = [kept.where(F.col("__route") == label).drop("__route") for label in (CONTINUE, REJECT)]
+    return halves[0], halves[1]
+
+
 def rejection(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``rejected`` and, for rejected rows, an assistant message with the reason.
 

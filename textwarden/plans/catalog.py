@@ -27,7 +27,7 @@ from ..operators.compose import (
     rejection,
     replace_on_block,
     route,
-    split,
+    routed,
     verdict_flags,
 )
 from ..operators.ratelimit import RateLimit, rate_limit
@@ -111,6 +111,19 @@ def content_output(spark, folder):
     return ct.last_turns(read_table(spark, folder, "conversations"))
 
 
+@query
+def content_output_state(spark, folder):
+    turns = read_table(spark, folder, "conversations")
+    message = F.array(F.struct("role", F.col("text").alias("content")))
+    states = turns.select(
+        "conv_id", "turn",
+        F.when(F.col("role") == "assistant", message).alias("messages"),
+        F.when(F.col("turn") > 0, F.concat(F.lit("> "), "text")).alias("output"),
+        F.when(F.col("turn") == 0, F.reverse("text")).alias("content"),
+    )
+    return states.select("conv_id", "turn", ct.content_output(states).alias("picked"))
+
+
 @query
 def content_code(spark, folder):
     docs = read_table(spark, folder, "documents")
@@ -177,6 +190,20 @@ def _wrapped_props(events: DataFrame) -> DataFrame:
     return events.withColumn("text", text)
 
 
+def _lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of eight letters or more that benchmark items hold, in five categories."""
+    words = read_table(spark, folder, "benchmark").select(
+        F.concat(F.lit("list "), F.col("item_id") % 5).alias("category"),
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{8,}"), F.lit(0))).alias("keyword"))
+    return words.distinct()
+
+
+@query
+def keyword_safety_lexicon(spark, folder):
+    docs = va.keyword_lexicon(_lexicon(spark, folder))(_documents(spark, folder))
+    return _verdict(docs, "ContentSafety", ["doc_id"], violations="violations")
+
+
 @query("extract_json")
 def extract_json_object(spark, folder):
     events = _wrapped_props(read_table(spark, folder, "events"))
@@ -607,7 +634,7 @@ def select_chain(spark, folder):
 @query("route")
 def route_rows(spark, folder):
     names = _document_chain().names
-    accepted, rejected = split(_chained(spark, folder), names)
+    accepted, rejected = routed(_chained(spark, folder), names)
     both = accepted.withColumn("part", F.lit("accepted")).unionByName(
         rejected.withColumn("part", F.lit("rejected"))
     )

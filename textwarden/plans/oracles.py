@@ -343,6 +343,9 @@ ORACLES: dict[str, str] = {
       WHEN role = 'assistant' THEN text WHEN turn = 0 THEN reverse(text) ELSE '' END AS picked
     FROM conversations""",
     "content_output": _LAST_TURNS,
+    "content_output_state": """
+    SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN text WHEN turn > 0 THEN '> ' || text
+      ELSE reverse(text) END AS picked FROM conversations""",
     "content_code": """
     SELECT doc_id, md5(CASE WHEN lang = 'en' THEN text WHEN lang = 'fr' THEN lower(text)
       WHEN source <> 'src0' THEN reverse(text) ELSE '' END) AS picked FROM documents""",
@@ -420,6 +423,15 @@ ORACLES: dict[str, str] = {
         with_count=False),
     "keyword_safety": _keyword_safety(
         tuple(fixed.SAFETY_WORDS), ", CASE WHEN len(v) > 0 THEN 'keyword' END AS method"),
+    "keyword_safety_lexicon": """
+    WITH words AS (SELECT DISTINCT 'list ' || (item_id % 5) AS category,
+        unnest(regexp_extract_all(lower(text), '[a-z]{8,}')) AS keyword FROM benchmark),
+    v AS (SELECT doc_id, string_agg(DISTINCT category, '|' ORDER BY category) AS hits
+        FROM documents, words WHERE contains(lower(text), keyword) GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN hits IS NULL THEN 'allow' ELSE 'block' END AS result,
+      CASE WHEN hits IS NULL THEN 'No safety issues detected (keyword check)'
+        ELSE 'Potential safety issues detected: ' || replace(hits, '|', ', ') END AS reason,
+      hits AS violations FROM documents LEFT JOIN v USING (doc_id)""",
     "prompt_injection": f"""
     WITH t AS (SELECT conv_id, turn, {_hits("lower(text)", [*_INJECTION, "sooner?n? as"])} AS p
                FROM ({_TURNS}))
