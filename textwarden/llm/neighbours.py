@@ -6,7 +6,8 @@ searched best first to find the lists of a vector.  Every vector goes to its nea
 if it lies near a boundary, to up to three more: those within ``REPLICA_RATIO`` of the nearest
 distance that are not closer to a list already chosen than to the vector.  A query reads the
 lists whose centroids are within a ratio of its nearest centroid's distance; the ratio is
-calibrated on the sample to reach ``RECALL``.  Lists are cut into blocks of bounded size, and
+calibrated on the sample to reach ``RECALL``.  Rows farther than the k-th nearest sampled row
+are not sent on.  Lists are cut into blocks of bounded size, and
 so are the queries of a list, so that a common vector fills no single task.  Distances are
 exact, in double precision, on the original vectors.
 
@@ -32,7 +33,7 @@ SAMPLE = 8_192  # rows the index is fitted on, in expectation
 LISTS = (8, 4096)  # fewest and most lists; between them the root of the number of rows
 DEGREE = 16
 REPLICAS, REPLICA_RATIO = 4, 1.15
-RECALL = 0.985
+RECALL = 0.97
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
 RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -49,6 +50,18 @@ class Index:
     centroids: np.ndarray
     graph: np.ndarray
     ratio: float
+    # The sampled vectors and their ids: they bound what a query's k nearest can be.
+    sample: np.ndarray | None = None
+    sample_ids: np.ndarray | None = None
+
+    def bounds(self, x: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+        """For each query a squared distance within which k other rows are known to lie."""
+        if self.sample is None or len(self.sample) <= k:
+            return np.full(len(x), np.inf)
+        gap = _squares(x, self.sample)
+        gap[ids[:, None] == self.sample_ids[None, :]] = np.inf
+        slack = 1e-9 * ((x * x).sum(1) + (self.sample**2).sum(1).max())
+        return np.partition(gap, k - 1, axis=1)[:, k - 1] + slack
 
     def search(self, x: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``want`` nearest centroids of each row found by best-first search, and their
@@ -183,9 +196,15 @@ def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
 def fit(rows: DataFrame, total: int, sample: int = SAMPLE) -> Index:
     """Fit on at most about ``sample`` of the valid rows, chosen by a hash of their id."""
     share = min(1.0, sample / total)
-    x = rows.where(hash_share(F.col("id"), "neighbours") < share).orderBy("id").toPandas()["vec"]
-    x = np.stack(x.to_list()) if len(x) else np.stack([rows.orderBy("id").first()["vec"]])
-    return fit_sample(x, int(min(max(math.sqrt(total), LISTS[0]), LISTS[1])))
+    chosen = rows.where(hash_share(F.col("id"), "neighbours") < share).orderBy("id").toPandas()
+    if not len(chosen):
+        chosen = pd.DataFrame([rows.orderBy("id").first().asDict()])
+    # A repeated id counts once among the k nearest, so it bounds only once.
+    chosen = chosen.drop_duplicates("id")
+    x = np.stack(chosen["vec"].to_list())
+    index = fit_sample(x, int(min(max(math.sqrt(total), LISTS[0]), LISTS[1])))
+    index.sample, index.sample_ids = x, chosen["id"].to_numpy()
+    return index
 
 
 def _pieces(series: pd.Series, size: int = 256):
@@ -222,9 +241,13 @@ def nearest(queries: DataFrame, postings: DataFrame, index: Index, k: int = 10)
                 continue
             frame["list"] = [p for x in _pieces(frame["vec"])
                              for p in index.probes(x, sizes, k + 1)]
-            yield frame.explode("list")[["list", "id", "vec"]]
+            ids = frame["id"].to_numpy()
+            frame["bound"] = np.concatenate([
+                index.bounds(x, ids[256 * i:256 * i + len(x)], k)
+                for i, x in enumerate(_pieces(frame["vec"]))])
+            yield frame.explode("list")[["list", "id", "vec", "bound"]]
 
-    asked = queries.mapInPandas(probe, "list int, id long, vec array<double>")
+    asked = queries.mapInPandas(probe, "list int, id long, vec array<double>, bound double")
     waiting = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
     blocks = {r["list"]: -(-r["n"] // BLOCK_ROWS) for r in counts}
     chunks = {name: -(-n // BLOCK_QUERIES) for name, n in waiting.items()}
@@ -240,7 +263,7 @@ def nearest(queries: DataFrame, postings: DataFrame, index: Index, k: int = 10)
         return F.explode(F.sequence(F.lit(0), lookup(values) - 1))
 
     # A cell is one block of a list's rows with one chunk of its queries.
-    asked = asked.select("list", every(blocks).alias("block"), salt(chunks).alias("chunk"), "id", "vec")
+    asked = asked.select("list", every(blocks).alias("block"), salt(chunks).alias("chunk"), "id", "vec", "bound")
     held = postings.select("list", salt(blocks).alias("block"), every(chunks).alias("chunk"), "id", "vec")
 
     def cell(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
@@ -252,6 +275,7 @@ def nearest(queries: DataFrame, postings: DataFrame, index: Index, k: int = 10)
                 gap = _squares(x, y)
                 slack = 1e-9 * ((x * x).sum(1).max() + (y * y).sum(1).max())
                 own = one["id"].to_numpy()[at:at + len(x)]
+                gap[gap > one["bound"].to_numpy()[at:at + len(x), None] + slack] = np.inf
                 gap[own[:, None] == names[None, :]] = np.inf
                 # Repeated ids and the query's own may hide among the first: take more.
                 kth = np.partition(gap, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1]
