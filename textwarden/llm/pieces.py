@@ -36,7 +36,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 # Words kept in a task: a bound on memory, not on what is encoded.
-CACHE = 250_000
+CACHE = 120_000
 SCHEMA = "ids array<int>, parity boolean, round_trip boolean"
 
 
@@ -155,7 +155,8 @@ def build_tokenizer(model: PieceModel):
         merges.sort()
         core = models.BPE(
             vocab=ids, merges=[m[3:] for m in merges], unk_token=model.pieces[model.unknown],
-            fuse_unk=True, byte_fallback=model.byte_fallback)
+            fuse_unk=True, byte_fallback=model.byte_fallback,
+            cache_capacity=0)  # texts and groups of words hardly ever come twice
     tokenizer = Tokenizer(core)
     steps = []
     if model.character_map:
