@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, lines, near, neighbours, pieces, pii, repeats, secret_scan, templates, toxicity
+from . import language, lines, near, neighbours, oracles, pieces, pii, repeats, secret_scan, templates, toxicity
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -17,4 +17,4 @@ QUERIES = {
     "op10_lines": lines.op10_lines,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_near_duplicates": oracles.NEAR_DUPLICATES}
