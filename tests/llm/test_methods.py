@@ -165,10 +165,10 @@ def test_block_max_search_is_exact():
     model = toxicity.train(np.arange(500) * 3, counts, labels, 0.3)
     dense = np.zeros((500, len(model.terms)))
     for i, c in enumerate(counts):
-        t, w = model.vector(c)
+        t, w = model.vector_of(c)
         dense[i, t] = w
     for c in counts[:60]:
-        t, w = model.vector(c)
+        t, w = model.vector_of(c)
         at, sim = model.nearest(t, w)
         truth = dense[:, t] @ w if len(t) else np.zeros(500)
         order = [i for i in np.lexsort((model.ids, -np.round(truth, 12))) if truth[i] > 0][:25]

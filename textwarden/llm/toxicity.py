@@ -38,6 +38,8 @@ TERMS = 4000
 LEAST_EXAMPLES, LEAST_Z = 5, 4.0
 BLOCK = 256
 NEIGHBOURS = 25
+# Tokens a task keeps the terms of: a bound on memory only.
+TOKENS_KEPT = 200_000
 PRIOR_WEIGHT = 0.5
 SCHEMA = ("score double, neighbours array<long>, similarities array<double>, "
           "labels array<int>")
@@ -45,14 +47,18 @@ PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
 
+def terms_of(token: str) -> list[str]:
+    """Terms of what stands between white space: its words, and their beginnings, marked by
+    a dash, for inflected forms."""
+    words = _WORD.findall(token)
+    return words + [w[:size] + "-" for w in words for size in PREFIXES if len(w) > size]
+
+
 def term_counts(text: str | None) -> Counter:
-    """Counts of words, and of word beginnings, marked by a dash, for inflected forms."""
-    words = Counter(_WORD.findall(text.lower())) if text else Counter()
-    out = Counter(words)
-    for word, n in words.items():
-        for size in PREFIXES:
-            if len(word) > size:
-                out[word[:size] + "-"] += n
+    out: Counter = Counter()
+    for token, n in Counter(text.lower().split()).items() if text else ():
+        for term in terms_of(token):
+            out[term] += n
     return out
 
 
@@ -72,17 +78,35 @@ class ToxicityModel:
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     slope: float = 1.0
     offset: float = 0.0
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    # Known terms of the tokens met so far; most tokens have none.
+    met: dict[str, list[int]] = field(default_factory=dict)
+
+    def known(self, text: str | None) -> dict[int, int]:
+        """Counts of the vocabulary's terms in a text."""
+        out: dict[int, int] = {}
+        if len(self.met) > TOKENS_KEPT:
+            self.met.clear()
+        for token, n in Counter(text.lower().split()).items() if text else ():
+            at = self.met.get(token)
+            if at is None:
+                at = [self.terms[t] for t in terms_of(token) if t in self.terms]
+                if len(token) < 64:
+                    self.met[token] = at
+            for term in at:
+                out[term] = out.get(term, 0) + n
+        return out
+
+    def vector(self, known: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of unit length."""
-        # A text is compared by its own rarest side: look up whichever is shorter.
-        known = [(self.terms[w], n) for w, n in counts.items() if w in self.terms]
         if not known:
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.array([k for k, _ in known])
-        weight = (1 + np.log([n for _, n in known])) * self.idf[at]
+        at = np.fromiter(known.keys(), np.int64, len(known))
+        weight = (1 + np.log(np.fromiter(known.values(), float, len(known)))) * self.idf[at]
         return at, weight / np.linalg.norm(weight)
 
+    def vector_of(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        return self.vector({self.terms[w]: n for w, n in counts.items() if w in self.terms})
+
     def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         rows = np.concatenate([np.full(len(t), i) for i, (t, _) in enumerate(vectors)])
         terms = np.concatenate([t for t, _ in vectors])
@@ -141,7 +165,7 @@ class ToxicityModel:
     def predict(self, text: str | None) -> tuple[float, list[int], list[float], list[int]]:
         if not self.terms:
             return self.prior, [], [], []
-        at, sim = self.nearest(*self.vector(term_counts(text)))
+        at, sim = self.nearest(*self.vector(self.known(text)))
         return (self.score(self.vote(at, sim)), self.ids[at].tolist(), sim.tolist(),
                 self.labels[at].tolist())
 
@@ -175,7 +199,7 @@ def train(ids: np.ndarray, counts: list[Counter], labels: np.ndarray,
         return model
     model.terms = {term: i for i, (_, term, _) in enumerate(chosen)}
     model.idf = np.array([1 + np.log((1 + n0 + n1) / (1 + df)) for _, _, df in chosen])
-    vectors = [model.vector(c) for c in counts]
+    vectors = [model.vector_of(c) for c in counts]
     model.ids, model.labels = ids, labels.astype(np.int64)
     model.index(vectors)
     votes = np.array([model.vote(*model.nearest(t, w, leave=i)) for i, (t, w) in enumerate(vectors)])
