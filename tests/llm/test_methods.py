@@ -444,3 +444,10 @@ def test_language_reads_long_texts_in_pieces(monkeypatch):
     whole = language.gram_counts(text)
     monkeypatch.setattr(language, "PIECE", 37)
     assert np.array_equal(language.gram_counts(text), whole)
+
+
+def test_near_duplicates_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    want = con.execute(catalog.ORACLES["op7_near_duplicates"]).fetchall()
+    assert {tuple(r) for r in result(spark, "op7_near_duplicates")} == set(want)
