@@ -312,9 +312,9 @@ class RateLimit(Stage):
     """Rate limiting as a stage.
 
     ``id_col`` orders requests of equal time and must be unique per user.  ``hot_rows``
-    is the number of rows from which a user is cut into pieces: "auto" compares each
-    user's count with an even share per shuffle partition, a number fixes it, None
-    skips the count (for inputs known to be even).
+    is the number of rows from which a user is cut into pieces: "auto" is
+    ``smallest_hot_user``, whatever the size of the table, None skips the count (for
+    inputs known to be even).
     """
 
     def __init__(
@@ -349,16 +349,13 @@ class RateLimit(Stage):
         large = F.when(F.col("count") > fixed_limit, F.struct("user", "count"))
         row = (
             df.groupBy(user_key(F.col(self.user_col)).alias("user")).count()
-            .agg(F.sum("count").alias("total"), F.collect_list(large).alias("large"))
+            .agg(F.collect_list(large).alias("large"))
             .first()
         )
-        threshold = fixed_limit
-        spark = df.sparkSession
-        if self.hot_rows == "auto":
-            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-            threshold = max(threshold, 2 * (row.total or 0) // tasks)
-        found = [(u.user,) for u in row.large if u["count"] > threshold]
-        return (spark.createDataFrame(found, "user string"), threshold) if found else None
+        found = [(u.user,) for u in row.large or []]
+        if not found:
+            return None
+        return df.sparkSession.createDataFrame(found, "user string"), fixed_limit
 
     def apply(self, df: DataFrame, text_col: str, active: Column | None = None) -> DataFrame:
         on = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
