@@ -250,8 +250,8 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
             if size:
                 yield pd.DataFrame({"key": np.concatenate(keys), "id": np.concatenate(ids)})
 
-    # One exchange by key serves both the aggregation and the join with its result.
-    keys = docs.mapInPandas(own_keys, "key long, id long").repartition("key")
+    # Combined before its shuffle; the join with the result splits keys that are frequent.
+    keys = docs.mapInPandas(own_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     wanted = keys.join(shared.where("low < high").select("key"), "key", "left_semi")
     wanted = wanted.groupBy("id").agg(F.collect_list("key").alias("keys"))
