@@ -36,7 +36,7 @@ PER_CLASS = 1500
 TERMS = 4000
 # A term must occur in so many examples, and differ between classes by so many deviations.
 LEAST_EXAMPLES, LEAST_Z = 5, 4.0
-BLOCK = 256
+BLOCK = 1024
 NEIGHBOURS = 25
 # Tokens a task keeps the terms of: a bound on memory only.
 TOKENS_KEPT = 200_000
