@@ -451,3 +451,38 @@ def test_near_duplicates_sql(spark):
     con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
     want = con.execute(catalog.ORACLES["op7_near_duplicates"]).fetchall()
     assert {tuple(r) for r in result(spark, "op7_near_duplicates")} == set(want)
+
+
+def test_lines_recall_against_edit_similarity(spark):
+    """Lines of the given table against edit similarity alone, without SimHash."""
+    found = duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    names = {lines.normal(x) for t, in found for x in (t or "").split("\n")}
+    names = sorted(n for n in names if 80 <= len(n) <= 130)
+    con = duckdb.connect()
+    con.execute("create table l (i int, n varchar)")
+    con.executemany("insert into l values (?, ?)", list(enumerate(names)))
+    truth = con.execute(
+        "select a.i, b.i from l a join l b on a.i < b.i where levenshtein(a.n, b.n)"
+        " <= 0.2 * greatest(length(a.n), length(b.n)) + 1e-9").fetchall()
+    nodes = {i for pair in truth for i in pair}
+    want = {i for i, top in groups(nodes, truth).items() if i != top}
+    df = spark.createDataFrame([(i, names[i]) for i in sorted(nodes)], "doc_id long, text string")
+    gone = {r["doc_id"] for r in lines.deduplicate(df).where("text = ''").collect()}
+    assert gone <= want and len(gone) >= 0.7 * len(want) >= 10
+
+
+def test_line_scan_is_complete(spark, monkeypatch):
+    """All pairs within the bits, in pieces, against all pairs by hand."""
+    rng = np.random.default_rng(8)
+    code = rng.integers(0, 1 << 62, 300)
+    code[150:] = code[:150] ^ np.array([int(sum(1 << int(b) for b in rng.choice(62, 11, False)))
+                                        for _ in range(150)])
+    size = rng.integers(80, 120, 300)
+    df = spark.createDataFrame([(i, int(code[i]), int(size[i]), i // 2) for i in range(300)],
+                               "h long, code long, size int, component long")
+    want = {frozenset((i, j)) for i in range(300) for j in range(i) if i // 2 != j // 2
+            and np.bitwise_count(code[i] ^ code[j]) <= 12
+            and abs(size[i] - size[j]) <= 0.2 * max(size[i], size[j]) + 1e-9}
+    monkeypatch.setattr(lines, "PIECE", 100)
+    got = [frozenset(r) for r in lines.close_pairs(df, 0.8, 12).collect()]
+    assert set(got) == want and len(got) == len(want) > 50
