@@ -486,3 +486,11 @@ def test_line_scan_is_complete(spark, monkeypatch):
     monkeypatch.setattr(lines, "PIECE", 100)
     got = [frozenset(r) for r in lines.close_pairs(df, 0.8, 12).collect()]
     assert set(got) == want and len(got) == len(want) > 50
+
+
+def test_short_lines_are_deduplicated(spark):
+    rows = [(1, "own words\nAll rights reserved.\nok"), (2, "ALL RIGHTS RESERVED\n\n---\nOK!"),
+            (3, "all rights reservd\nno\n---"), (4, "你好世界\n版权所有"), (5, "版权所有。\n\nother")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicate(df).collect()}
+    assert got == {1: rows[0][1], 2: "\n---", 3: "no\n---", 4: rows[3][1], 5: "\nother"}
