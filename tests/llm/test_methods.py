@@ -494,3 +494,22 @@ def test_short_lines_are_deduplicated(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in lines.deduplicate(df).collect()}
     assert got == {1: rows[0][1], 2: "\n---", 3: "no\n---", 4: rows[3][1], 5: "\nother"}
+
+
+def test_neighbours_beyond_the_lists_read(spark):
+    """Rows of the sample that set a query's bound are answers even if its lists lack them."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=24).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.Counter(r["query_id"] for r in neighbours.search(df, F.col("id") % 50 == 0).collect())
+    assert set(got.values()) == {10} and len(got) == 60
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [1.0, 0.001 * i]) for i in range(1, 13)]
+    rows += [(i, [1.0, float(i)]) for i in range(2, 14)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = neighbours.Index(np.array([[1.0, 0.0]]), np.zeros((1, 1), dtype=int), np.inf)
+    vectors = neighbours._valid(df, "vec_id", "embedding")
+    got = neighbours.nearest(vectors.where("id = 0"), neighbours.build(vectors, index), index)
+    assert [r["vec_id"] for r in got.orderBy("rank").collect()] == list(range(1, 11))
