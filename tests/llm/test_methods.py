@@ -513,3 +513,21 @@ def test_neighbours_of_repeated_ids(spark):
     vectors = neighbours._valid(df, "vec_id", "embedding")
     got = neighbours.nearest(vectors.where("id = 0"), neighbours.build(vectors, index), index)
     assert [r["vec_id"] for r in got.orderBy("rank").collect()] == list(range(1, 11))
+
+
+def test_copies_are_judged_one_by_one(spark):
+    ask = "If {} has {} apples and buys {} more apples at {} km, how many does {} have now?"
+    item = ask.format("Tom", "1,200", "2.5", 3, "Tom")
+    docs = spark.createDataFrame([
+        (1, item + " Then " + ask.format("Ann", 8, 9, 4, "Ann")),
+        (2, " Next: ".join(ask.format(n, i, i + 3, i + 5, n) for i, n in enumerate(("Ann", "Bob", "Eve")))),
+        (3, item + " word" * 300 + " He has 7 apples and buys 6 more apples at 9 km."),
+        (4, item.replace("more", "some more") + " So " + ask.format("Ann", 8, 9, 4, "Ann").replace("more", "many more")),
+        (5, ask.format("Ann", "12", "7", 4, "Bob") + " Next: " + ask.format("Bob", 1, 2, 4, "Ann")),
+    ], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r["doc_id"]: r["reparameterised"] for r in templates.contaminated(docs, items, share=0.7).collect()}
+    # A smaller share, for a word put into each copy.
+    assert {i: got[i] for i in (1, 2, 3, 4)} == {1: False, 2: True, 3: False, 4: False}
+    got = {r["doc_id"] for r in templates.contaminated(docs, items).collect()}
+    assert got == {1, 2, 3}

@@ -1,12 +1,16 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
-Texts are cut into tokens (runs of letters and digits).  A token is canonicalised: numbers
+Texts are cut into tokens (runs of letters and digits; a number with its separators and
+decimals is one).  A token is canonicalised: numbers
 become one placeholder, units behind a number another, and names (capitalised words inside a
 sentence) a third; all others are lower-cased.  Windows of ``WINDOW`` template tokens of the documents
 are joined by hash with those of the benchmark.  A document that holds at least ``SHARE`` of
-an item's windows, with slots filled consistently (one value of the item never stands for two
-in the document), is contaminated by the item: exact copies, and copies with other numbers,
-names or units.  An item shorter than a window is one window of all its tokens.
+an item's windows, with slots filled consistently (one value of the item never stands for two)
+is contaminated by the item: exact copies, and copies with other numbers, names or units.
+Windows are counted, and slots compared, within one place at a time: an aligned run (document
+position minus item position), the runs within about an item's length of one another (copies
+with words put in or left out), and the whole document (parts far apart).  The place with most
+windows counts.  An item shorter than a window is one window of all its tokens.
 
 A window that has nothing but placeholders says nothing and is not used.  Defined cases: null
 texts are empty; empty texts and items match nothing; null ids take part as ids of their own
@@ -39,6 +43,7 @@ eur cent cents percent degree degrees kmh mph watt watts volt volts
 NUM, UNIT, NAME = "\u0003", "\u0002", "\u0001"
 PLACEHOLDERS = (NUM, UNIT, NAME)
 _WORD = r"[\p{L}\p{N}]+"
+_NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,'’][0-9]+)*(?![\p{L}\p{N}])"
 
 
 def marked(text: Column) -> Column:
@@ -52,18 +57,19 @@ def marked(text: Column) -> Column:
 
 def raw_tokens(text: Column) -> Column:
     """Tokens of a marked text, in lower case and without marks."""
-    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(f"{_NUMBER}|{_WORD}"), F.lit(0))
 
 
 def template_tokens(text: Column) -> Column:
     """Tokens of a marked text, slots as placeholders: as many as ``raw_tokens`` has."""
     out = F.regexp_replace(text, f"([{NAME}{UNIT}]){_WORD}", "$1")
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}])[0-9]+(?![\p{L}\p{N}])", NUM)
+    out = F.regexp_replace(out, _NUMBER, NUM)
     return F.regexp_extract_all(F.lower(out), F.lit(f"[{NAME}{UNIT}{NUM}]|{_WORD}"), F.lit(0))
 
 
 def windows(df: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
-    """(id, h, form, raw) of each window: hash and tokens of its template, its own tokens.
+    """(id, at, n, h, form, raw) of each window: its position, the text's number of tokens, hash
+    and tokens of its template, its own tokens.
 
     Built from shifted copies of the token arrays side by side, so that generating, hashing
     and joining run compiled.
@@ -78,12 +84,14 @@ def windows(df: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame
     rows = rows.select("id", padded(F.col("t")).alias("t"), padded(F.col("r")).alias("r"))
     shifted = [F.slice(c, i + 1, F.size(c) - (size - 1)).alias(f"{c}{i}")
                for c in ("t", "r") for i in range(size)]
-    wide = rows.select("id", *shifted).select("id", F.inline(F.arrays_zip(
-        *[f"{c}{i}" for c in ("t", "r") for i in range(size)])))
+    places = F.sequence(F.lit(0), F.size("t") - size).alias("at")
+    wide = rows.select("id", F.size("t").alias("n"), places, *shifted).select(
+        "id", "n", F.inline(F.arrays_zip(
+            "at", *[f"{c}{i}" for c in ("t", "r") for i in range(size)])))
     forms, raws = [f"t{i}" for i in range(size)], [f"r{i}" for i in range(size)]
     told = [~F.col(f).isin("", *PLACEHOLDERS) for f in forms]
     return wide.where(reduce(Column.__or__, told)).select(
-        "id", F.xxhash64(*forms).alias("h"), F.array(*forms).alias("form"),
+        "id", "at", "n", F.xxhash64(*forms).alias("h"), F.array(*forms).alias("form"),
         F.array(*raws).alias("raw"))
 
 
@@ -97,33 +105,46 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
                  ) -> DataFrame:
     """Pairs (doc, item) with windows matched, all of the item's, and whether slots changed."""
     own = windows(items, item_key, item_text).select(
-        F.col("id").alias("item"), "h", _slots(F.col("form"), F.col("raw")).alias("item_slots")
-    ).distinct()
+        F.col("id").alias("item"), "h", F.col("at").alias("item_at"), "n",
+        _slots(F.col("form"), F.col("raw")).alias("item_slots")).distinct()
     sizes = own.groupBy("item").agg(F.countDistinct("h").alias("n_windows"))
     # Checked size: a benchmark is small, but nothing here relies on it.
     if own.count() <= BROADCAST_WINDOWS:
         own, sizes = F.broadcast(own), F.broadcast(sizes)
-    hits = windows(docs.where(F.col(key).isNotNull()), key, text).join(own, "h").select(
-        "id", "item", "h", "item_slots", _slots(F.col("form"), F.col("raw")).alias("doc_slots")
-    ).distinct()
-    # A value of the item that stands for two values in the document leaves out its windows.
+    shift = F.col("at") - F.col("item_at")
+    # Two copies are at least an item's length apart, so a stretch of that length holds one;
+    # stretches overlap by half, so a copy that drifts by less than that is whole in one.
+    places = F.array(*[F.struct(F.lit(kind).alias("kind"), where.cast("long").alias("where"))
+                       for kind, where in enumerate((
+                           shift, F.floor(shift / F.col("own_n")),
+                           F.floor(shift / F.col("own_n") + 0.5), F.lit(0)))])
+    hits = windows(docs.where(F.col(key).isNotNull()), key, text).drop("n").join(
+        own.withColumnRenamed("n", "own_n"), "h").select(
+        "id", "item", "h", "item_slots", _slots(F.col("form"), F.col("raw")).alias("doc_slots"),
+        F.explode(places).alias("place")).distinct()
+    place = ["id", "item", "place"]
+    # A value of the item that stands for two values in one place leaves out its windows there.
     pairs = hits.select(
-        "id", "item", "h", F.explode_outer(F.filter(
+        *place, "h", F.explode_outer(F.filter(
             F.arrays_zip("item_slots", "doc_slots"),
             lambda z: z["item_slots"].isNotNull())).alias("slot"))
-    values = pairs.where("slot is not null").groupBy("id", "item", "slot.item_slots").agg(
+    values = pairs.where("slot is not null").groupBy(*place, "slot.item_slots").agg(
         F.min("slot.doc_slots").alias("low"), F.max("slot.doc_slots").alias("high"))
     uneven = pairs.join(
-        values.where("low <> high").select(
-            "id", "item", F.col("item_slots").alias("value")),
-        ["id", "item"]).where("slot.item_slots = value").select("id", "item", "h").distinct()
-    even = hits.join(uneven, ["id", "item", "h"], "left_anti")
-    found = even.groupBy("id", "item").agg(
+        values.where("low <> high").select(*place, F.col("item_slots").alias("value")),
+        place).where("slot.item_slots = value").select(*place, "h").distinct()
+    even = hits.join(uneven, [*place, "h"], "left_anti")
+    found = even.groupBy(*place).agg(
         F.countDistinct("h").alias("n_matched"),
-        F.max((F.col("item_slots") != F.col("doc_slots")).cast("int")).alias("changed"))
-    return found.join(sizes, "item").where(F.col("n_matched") >= share * F.col("n_windows")).select(
-        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", "n_windows",
-        (F.coalesce("changed", F.lit(0)) == 1).alias("reparameterised"))
+        F.coalesce(F.max((F.col("item_slots") != F.col("doc_slots")).cast("int")), F.lit(0))
+        .alias("changed"))
+    best = found.groupBy("id", "item").agg(F.max(F.struct(
+        "n_matched", (1 - F.col("changed")).alias("same"))).alias("best"))
+    return best.join(sizes, "item").where(
+        F.col("best.n_matched") >= share * F.col("n_windows")).select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"),
+        F.col("best.n_matched").alias("n_matched"), "n_windows",
+        (F.col("best.same") == 0).alias("reparameterised"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id",
