@@ -531,3 +531,11 @@ def test_copies_are_judged_one_by_one(spark):
     assert {i: got[i] for i in (1, 2, 3, 4)} == {1: False, 2: True, 3: False, 4: False}
     got = {r["doc_id"] for r in templates.contaminated(docs, items).collect()}
     assert got == {1, 2, 3}
+
+
+def test_letters_in_one_case_are_scored(spark):
+    rows = [(1, "pwd: qzxvkwpjmtrb"), (2, "the passphrase is HGTRQWPLMZ"), (3, "password is required here")]
+    rows += [(10 + i, "what is required is written down") for i in range(secret_scan.WORD_DOCS)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["secrets"]["value"] for r in secret_scan.scan(df).collect()}
+    assert {i: v for i, v in got.items() if v} == {1: ["qzxvkwpjmtrb"], 2: ["HGTRQWPLMZ"]}
