@@ -31,3 +31,10 @@ def test_stages(spark):
 def test_registered():
     assert {"pipeline", *catalog.QUERIES} <= set(contract.queries())
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in catalog.QUERIES)] == []
+
+
+def test_encoding_is_decoded_back(spark):
+    docs = spark.createDataFrame([(1, "plain words", "en", "a", 11), (2, "a ▁ mark", "en", "a", 8)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    rows = corpus_pipeline.encode(spark, docs, FOLDER).collect()
+    assert {r["doc_id"]: r["round_trip"] for r in rows} == {1: True, 2: False}
