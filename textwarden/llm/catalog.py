@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import language, lines, near, neighbours, oracles, pieces, pii, repeats, secret_scan, templates, toxicity
+from . import (
+    language, lexical, lines, near, neighbours, oracles, phrases, pieces, pii, repeats,
+    secret_scan, simhash, templates, toxicity,
+)
 
 QUERIES = {
     "op1_nearest": neighbours.op1_nearest,
@@ -15,6 +18,13 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_language_id": language.op9_language_id,
     "op10_lines": lines.op10_lines,
+    "op11_lexical_search": lexical.op11_lexical_search,
+    "op12_simhash": simhash.op12_simhash,
+    "op13_collocations": phrases.op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op7_near_duplicates": oracles.NEAR_DUPLICATES}
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op13_collocations": oracles.COLLOCATIONS,
+}
