@@ -52,7 +52,7 @@ def terms(text: str | None) -> list[bytes]:
 
 
 def _described(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n, words, tfs) of each row with terms."""
+    """(id, n, words, tfs) of each row with terms; words are joined by blanks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,10 +64,10 @@ def _described(df: DataFrame, key: str, text: str) -> DataFrame:
                 counts = Counter(found)
                 ids.append(key_)
                 n.append(len(found))
-                words.extend(counts)
+                words.append(b" ".join(counts))
                 tfs.extend(counts.values())
-                ends.append(len(words))
-                if len(words) >= _FLAT:
+                ends.append(len(tfs))
+                if len(tfs) >= _FLAT:
                     yield out(ids, n, words, tfs, ends)
                     ids, n, words, tfs, ends = [], [], [], [], [0]
             yield out(ids, n, words, tfs, ends)
@@ -76,28 +76,29 @@ def _described(df: DataFrame, key: str, text: str) -> DataFrame:
         offsets = pa.array(ends, pa.int32())
         return pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
-            pa.ListArray.from_arrays(offsets, pa.array(words, pa.binary()).cast(pa.string())),
-            pa.ListArray.from_arrays(offsets, pa.array(tfs, pa.int64())),
+            pa.array(words, pa.binary()).cast(pa.string()),
+            pa.ListArray.from_arrays(offsets, pa.array(tfs, pa.int32())),
         ], names=["id", "n", "words", "tfs"])
 
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     return rows.where("id is not null and text is not null").mapInArrow(
-        run, "id long, n long, words array<string>, tfs array<long>")
+        run, "id long, n long, words string, tfs array<int>")
 
 
 _UNIT_ROW = ("m long, part int, docs array<long>, words array<string>, first array<int>, "
              "tfs array<long>, ends array<int>, postings array<int>")
 
 
-def _packed(m: int, part: int, ids: list, words: list, tfs: list) -> pa.RecordBatch:
+def _packed(m: int, part: int, ids: list, words: list[str], tfs: list) -> pa.RecordBatch:
     """One unit: per word its groups of equal tf, per group its documents."""
     order = np.argsort(np.array(ids, dtype=np.int64), kind="stable")
     sizes = np.array([len(t) for t in tfs], dtype=np.int64)
     place = np.empty(len(ids), dtype=np.int32)
     place[order] = np.arange(len(ids), dtype=np.int32)
     doc = np.repeat(place, sizes)
-    tf = np.concatenate([t.to_numpy() for t in tfs])
-    coded = pa.concat_arrays(words).dictionary_encode()
+    tf = np.concatenate([t.to_numpy() for t in tfs]).astype(np.int64)
+    coded = pc.split_pattern(pa.array(words, pa.large_string()), " ").flatten().cast(
+        pa.string()).dictionary_encode()
     code = coded.indices.to_numpy()
     by = np.lexsort((doc, tf, code))
     doc, tf, code = doc[by], tf[by], code[by]
@@ -126,17 +127,18 @@ def _units(described: DataFrame, documents: int, total: int, unit: int) -> DataF
                         yield _packed(*at, ids, words, tfs)
                     at, ids, words, tfs = (m[row], part[row]), [], [], []
                 ids.append(doc[row])
-                words.append(batch.column(3)[row].values)
+                words.append(batch.column(3)[row].as_py())
                 tfs.append(batch.column(4)[row].values)
         if ids:
             yield _packed(*at, ids, words, tfs)
 
     rows = described.withColumn(
         "m", F.expr(f"75 + cast((25 * cast(n as decimal(19,0)) * {documents}) div {max(total, 1)} as long)"))
-    parts = rows.groupBy("m").agg(
-        F.ceil(F.sum(F.size("words")) / F.lit(unit)).cast("int").alias("parts"))
-    return (rows.join(parts, "m")
-            .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # Written first, so that its size is known when the join is planned; few strata are large.
+    parts = stored(rows.groupBy("m").agg(
+        F.ceil(F.sum(F.size("tfs")) / F.lit(unit)).cast("int").alias("parts")).where("parts > 1"))
+    return (rows.join(parts, "m", "left")
+            .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
             .select("m", "part", "id", "words", "tfs")
             .repartition("m", "part").sortWithinPartitions("m", "part", "id")
             .mapInArrow(run, _UNIT_ROW))
@@ -274,10 +276,12 @@ def search(
     units, described, documents = index(docs, key, text, unit=unit)
     asked = stored(
         _described(items, item_key, item_text)
-        .select(F.col("id").alias("item"), F.explode(F.map_from_arrays("words", "tfs")).alias("word", "c"))
+        .select(F.col("id").alias("item"), F.explode(F.arrays_zip(
+            F.split("words", " ").alias("word"), F.col("tfs").alias("c"))).alias("of"))
+        .select("item", "of.word", "of.c")
         .groupBy("item", "word").agg(F.sum("c").alias("c")))
     # Occurrences in documents of the items' terms; words are counted before they are shuffled.
-    frequency = described.select(F.explode("words").alias("word")).join(
+    frequency = described.select(F.explode(F.split("words", " ")).alias("word")).join(
         asked.select("word").distinct(), "word").groupBy("word").agg(F.count("*").alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log(
         F.lit(2.0 * documents + 2.0) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))).cast("long")
