@@ -1,31 +1,36 @@
 """Phrases whose words occur together more often than apart.
 
 A text is cut at ``PIECES`` into pieces, and those at blanks and tabs into words.  Every run
-of up to ``longest`` words within a piece gets a 64-bit fingerprint from prefix polynomials
+of up to ``longest`` words within a piece gets a fingerprint from prefix polynomials
 over its words' hashes: with P[i] the sum of code[j] * B**j over j < i, the fingerprint of
-words i to i+k is (P[i+k] - P[i]) * B**-i, salted with the language and k.  A polynomial of
-another base over other codes gives a 32-bit tag.  Only (fingerprint, tag, count, pointer to a
-document) is shuffled, summed up in each task first.  Words are counted as the occurrences of
-the run of no words.
-
-Fingerprints of at least ``least`` occurrences are kept.  Where one has several tags,
-different runs collided; these are counted again by fingerprint and tag.  Then the texts
-that the pointers name are read again, and the kept runs are written out from them; a run
-that does not give its fingerprint and tag again is not taken.  So no string of a rare run
-ever leaves its task.  (Wrong counts need two runs equal in 96 bits.)
+words i to i+k is (P[i+k] - P[i]) * B**-i modulo 2**64, salted with the language and k, mixed and
+shortened to ``SPARE`` bits more than it takes to number all runs.
+
+Documents are gathered into chunks of about ``CHUNK`` words, which are written.  A chunk counts
+its fingerprints, and sends them, sorted and packed, to ranges of fingerprints; the chunk's
+number is the pointer to their occurrences.  A range adds up the counts of all chunks and
+answers each chunk with those of its fingerprints that occur ``least`` times in all.  The
+chunk then reads its text again, and only the runs with these fingerprints are written out and
+counted, by their words.  So the counts are exact: runs that collide come apart in the text,
+and what is rarer than ``least`` without the other is dropped.  No string of a run with a rare
+fingerprint ever leaves its task.  The number of ranges follows the number of words, so that
+a range's fingerprints fit into a task whatever the corpus' size.
 
 A candidate is a run of two words or more.  Its score is the least, over its cuts in two, of
 10**6 * a * a / (l * r), rounded down, in exact decimals (a, l, r: occurrences of the run and
 the two parts).  A candidate inside a longer one of at least ``share`` percent of its
 occurrences is dropped.
 
-Defined cases: a null text is empty; a null language is ``und``; rows with a null or a
-repeated id are read and counted like all others; equal phrases of two languages are two; an
-empty table gives no rows; texts are read whole; other columns are ignored.
+Defined cases: a null text is empty; a null language is ``und``; ids are not used, so rows
+with a null or a repeated id are read and counted like all others; equal phrases of two
+languages are two; an empty table gives no rows; texts are read whole; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,25 +46,26 @@ PIECES = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
 LONGEST, LEAST, SHARE, FIRST = 3, 10, 50, 2000
-_TOKENS = 1 << 20
-_NO_ID = (1 << 63) - 1
+CHUNK = 1 << 19
+RANGE = 1 << 20
+# Bits of a fingerprint beyond the logarithm of the number of runs.
+SPARE = 20
 _UPPER = bytes(range(65, 91))
 _BYTES = bytes.maketrans(_UPPER + PIECES + b"\t", _UPPER.lower() + b"." * len(PIECES) + b" ")
-_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BASE = 0xD6E8FEB86659FD93
+_POWERS: list[np.ndarray] = []
 _SALTS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
 
 
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(size: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
-    if base not in _POWERS or len(_POWERS[base][0]) < size:
-        both = []
-        for factor in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, factor, dtype=np.uint64)
+    if not _POWERS or len(_POWERS[0]) < size:
+        _POWERS.clear()
+        for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(max(size, 1 << 17), factor, dtype=np.uint64)
             steps[0] = 1
-            both.append(np.cumprod(steps, dtype=np.uint64))
-        _POWERS[base] = (both[0], both[1])
-    return _POWERS[base]
+            _POWERS.append(np.cumprod(steps, dtype=np.uint64))
+    return _POWERS
 
 
 class _Words(dict):
@@ -80,151 +86,217 @@ def tokens(text: str | None) -> list[bytes]:
     return data.replace(b".", b" . ").split()
 
 
-def run_hashes(
-    ids: np.ndarray, codes: tuple[np.ndarray, np.ndarray], salts: np.ndarray, k: int, bits: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, fingerprint and tag of every run of k words; ids 0 belong to no run."""
-    size = len(ids) - k + 1
-    if size <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
-    whole = np.concatenate([[0], np.cumsum(ids == 0)])
-    start = np.flatnonzero(whole[k:] == whole[:size])
-    if k == 0:
-        start = np.flatnonzero(ids != 0)
-    found = []
-    for base, code in zip(_BASES, codes):
-        up, down = _powers(base, max(_TOKENS + 64, len(ids)))
-        sums = np.zeros(len(ids) + 1, dtype=np.uint64)
-        np.cumsum(code[ids] * up[:len(ids)], out=sums[1:])
-        found.append(mix((sums[start + k] - sums[start]) * down[start] + (salts[start] ^ _SALTS[k])))
-    fp = found[0] >> np.uint64(64 - bits)
-    return start, fp, (found[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+class Runs:
+    """The runs of words of a chunk: word numbers, and fingerprints from prefix polynomials."""
+
+    def __init__(self, data: bytes, langs: list[str], lengths: list[int], bits: int = 64) -> None:
+        numbers, found = _Words(), data.split()
+        self.ids = np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
+        self.words, self.cut = list(numbers), np.uint64(64 - bits)
+        code = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
+        self.langs = sorted(set(langs))
+        place = {x: i for i, x in enumerate(self.langs)}
+        self.lang = np.repeat(np.array([place[x] for x in langs], dtype=np.int32), lengths)
+        salt = [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 3) for x in self.langs]
+        self.salt = np.array(salt, dtype=np.uint64)
+        self.sums = np.zeros(len(found) + 1, dtype=np.uint64)
+        np.cumsum(code[self.ids] * _powers(len(found))[0][:len(found)], out=self.sums[1:])
+        self.ends = np.zeros(len(found) + 1, dtype=np.int32)
+        np.cumsum(self.ids == 0, out=self.ends[1:])
+
+    def of(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of k words start, and their fingerprints."""
+        size = len(self.ids) - k + 1
+        if size <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        start = np.flatnonzero(self.ends[k:] == self.ends[:size])
+        value = (self.sums[start + k] - self.sums[start]) * _powers(len(self.ids))[1][start]
+        return start, mix(value + (self.salt[self.lang[start]] ^ _SALTS[k])) >> self.cut
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Sorted numbers as the bytes of their differences, the lowest of all first; planes of
+    zeros at the top are left out."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    used = 8 - int(np.argmax(planes[::-1].any(axis=1))) if planes.any() else 1
+    return bytes([used]) + planes[:used].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    used = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(used, -1)
+    steps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    steps[:, :used] = planes.T
+    return np.cumsum(steps.view("<u8")[:, 0], dtype=np.uint64)
+
+
+def _chunks(docs: DataFrame, chunk: int) -> DataFrame:
+    """Rows of some documents each: number of the chunk, languages and lengths, words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs, lengths, parts, held = [], [], [], 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = tokens(text)
+                found.append(b".")
+                langs.append(lang)
+                lengths.append(len(found))
+                parts.append(b" ".join(found))
+                held += len(found)
+                if held >= chunk:
+                    yield out(langs, lengths, parts, held)
+                    langs, lengths, parts, held = [], [], [], 0
+        if parts:
+            yield out(langs, lengths, parts, held)
+
+    def out(langs: list, lengths: list, parts: list, held: int) -> pa.RecordBatch:
+        # Rows are written before their numbers are used.
+        return pa.RecordBatch.from_pydict({
+            "chunk": pa.array([uuid.uuid4().int >> 65], pa.int64()), "held": pa.array([held], pa.int64()),
+            "langs": pa.array([langs], pa.list_(pa.string())),
+            "lengths": pa.array([lengths], pa.list_(pa.int32())),
+            "data": pa.array([zlib.compress(b" ".join(parts), 1)], pa.binary())})
+
+    return docs.mapInArrow(
+        run, "chunk long, held long, langs array<string>, lengths array<int>, data binary")
 
 
-def _windows(
-    ids: np.ndarray, longest: int,
-) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Pieces of the ids, with the ids that runs starting in them reach."""
-    for at in range(0, len(ids), _TOKENS):
-        stop = min(len(ids), at + _TOKENS)
-        yield at, stop, ids[at:stop + longest - 1]
+def _read(batch: pa.RecordBatch, row: int, bits: int) -> Runs:
+    get = lambda name: batch.column(name)[row].as_py()
+    return Runs(zlib.decompress(get("data")), get("langs"), get("lengths"), bits)
 
 
-def _codes(words: _Words) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-                 for seed in (1, 2))
+def _sent(chunks: DataFrame, ranges: int, longest: int, bits: int) -> DataFrame:
+    """(part, chunk, fps, counts): a chunk's fingerprints in each range, packed."""
+    shift = np.uint64(bits - (ranges - 1).bit_length())
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                chunk, runs = batch.column("chunk")[row].as_py(), _read(batch, row, bits)
+                yield packed(chunk, np.concatenate([runs.of(k)[1] for k in range(1, longest + 1)]))
 
-def _salt(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 3)
+    def packed(chunk: int, values: np.ndarray) -> pa.RecordBatch:
+        values, counts = np.unique(values, return_counts=True)
+        part = (values >> shift).astype(np.int64)
+        first = np.flatnonzero(np.diff(part, prepend=-1))
+        last = np.append(first[1:], len(part))
+        fps = [pack(values[a:b]) for a, b in zip(first, last)]
+        sums = [counts[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+                for a, b in zip(first, last)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(part[first]), pa.array(np.full(len(first), chunk, dtype=np.int64)),
+            pa.array(fps, pa.binary()), pa.array(sums, pa.binary())],
+            names=["part", "chunk", "fps", "counts"])
 
+    return chunks.select("chunk", "langs", "lengths", "data").mapInArrow(
+        run, "part long, chunk long, fps binary, counts binary")
 
-def _counted(docs: DataFrame, longest: int, bits: int) -> DataFrame:
-    """(fp, tag, n, doc) of all runs, summed up over some documents at a time."""
+
+def _answers(sent: DataFrame, least: int) -> DataFrame:
+    """(chunk, fps): of each range, the fingerprints of a chunk that are frequent in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, held = _Words(), [], 0
+        now, held = None, []
         for batch in batches:
-            for doc, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                found = tokens(text)
-                found.append(b".")
-                parts.append((np.fromiter(map(words.__getitem__, found), np.int64, len(found)),
-                              doc, _salt(lang)))
-                held += len(found)
-                if held >= _TOKENS:
-                    yield from summed(words, parts)
-                    words, parts, held = _Words(), [], 0
-        if parts:
-            yield from summed(words, parts)
-
-    def summed(words: _Words, parts: list) -> Iterator[pa.RecordBatch]:
-        lengths = [len(p[0]) for p in parts]
-        ids, codes = np.concatenate([p[0] for p in parts]), _codes(words)
-        doc = np.repeat(np.array([p[1] for p in parts], dtype=np.int64), lengths)
-        salt = np.repeat(np.array([p[2] for p in parts], dtype=np.uint64), lengths)
-        for at, stop, some in _windows(ids, longest):
-            for k in range(longest + 1):
-                start, fp, tag = run_hashes(some, codes, salt[at:at + len(some)], k, bits)
-                here = start < stop - at
-                start, fp, tag = start[here], fp[here], tag[here]
-                order = np.argsort(fp)
-                fp, tag = fp[order], tag[order]
-                first = np.flatnonzero(np.concatenate(
-                    [[True], (fp[1:] != fp[:-1]) | (tag[1:] != tag[:-1])])[:len(fp)])
-                if not len(first):
-                    continue
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(fp[first].view(np.int64)), pa.array(tag[first]),
-                    pa.array(np.diff(np.append(first, len(fp)))),
-                    pa.array(np.minimum.reduceat(doc[at + start[order]], first)),
-                ], names=["fp", "tag", "n", "doc"])
-
-    return docs.mapInArrow(run, "fp long, tag int, n long, doc long")
-
-
-def _written_out(docs: DataFrame, frequent: DataFrame, longest: int, bits: int) -> DataFrame:
-    """(fp, tag, lang, words) of the frequent runs, read from the documents they point to."""
+            for row in range(batch.num_rows):
+                part, chunk, fps, counts = (batch.column(i)[row].as_py() for i in range(4))
+                if part != now and held:
+                    yield added(held)
+                    held = []
+                now = part
+                held.append((chunk, fps, counts))
+        if held:
+            yield added(held)
+
+    def added(held: list) -> pa.RecordBatch:
+        each = [unpack(fps) for _, fps, _ in held]
+        counts = np.concatenate([
+            np.frombuffer(c, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0] for _, _, c in held])
+        values, place = np.unique(np.concatenate(each), return_inverse=True)
+        # Whole numbers up to 2**53, so exact in doubles.
+        often = (np.bincount(place, weights=counts, minlength=len(values)) >= least)[place]
+        ends = np.cumsum([len(x) for x in each])
+        chosen = [x[often[e - len(x):e]] for x, e in zip(each, ends)]
+        some = [i for i, x in enumerate(chosen) if len(x)]
+        return pa.RecordBatch.from_arrays([
+            pa.array([held[i][0] for i in some], pa.int64()),
+            pa.array([pack(chosen[i]) for i in some], pa.binary())], names=["chunk", "fps"])
+
+    return (sent.repartition("part").sortWithinPartitions("part")
+            .mapInArrow(run, "chunk long, fps binary"))
+
+
+def _written_out(chunks: DataFrame, longest: int, bits: int) -> DataFrame:
+    """(lang, k, phrase, n) in each chunk: all words (k is 0), and the runs answered for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                lang, text, fps, tags = (batch.column(i)[row].as_py() for i in range(1, 5))
-                words, found = _Words(), tokens(text)
-                found.append(b".")
-                ids = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-                codes, salts = _codes(words), np.full(len(ids), _salt(lang), dtype=np.uint64)
-                wanted = np.array(fps, dtype=np.int64)
-                pairs, out = set(zip(fps, tags)), {}
-                for at, stop, some in _windows(ids, longest):
-                    for k in range(longest + 1):
-                        start, fp, tag = run_hashes(some, codes, salts[at:at + len(some)], k, bits)
-                        hit = np.flatnonzero(np.isin(fp.view(np.int64), wanted) & (start < stop - at))
-                        for s, f, t in zip(start[hit].tolist(), fp[hit].view(np.int64).tolist(),
-                                           tag[hit].tolist()):
-                            if (f, t) in pairs and (f, t) not in out:
-                                out[f, t] = [w.decode("utf-8", "surrogatepass")
-                                             for w in found[at + s:at + s + k]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([f for f, _ in out], pa.int64()), pa.array([t for _, t in out], pa.int32()),
-                    pa.array([lang] * len(out), pa.string()),
-                    pa.array(list(out.values()), pa.list_(pa.string())),
-                ], names=["fp", "tag", "lang", "words"])
-
-    pointers = frequent.groupBy("doc").agg(
-        F.collect_list("fp").alias("fps"), F.collect_list("tag").alias("tags"))
-    return docs.join(pointers, "doc").select("doc", "lang", "text", "fps", "tags").mapInArrow(
-        run, "fp long, tag int, lang string, words array<string>").dropDuplicates(["fp", "tag"])
+                runs = _read(batch, row, bits)
+                answers = batch.column("answers")[row].as_py() or []
+                frequent = np.sort(np.concatenate([unpack(x) for x in answers] or [np.zeros(0, np.uint64)]))
+                words = np.bincount(runs.lang[runs.ids != 0], minlength=len(runs.langs))
+                yield out(runs, 0, np.arange(len(words)), [b""] * len(words), words)
+                for k in range(1, longest + 1):
+                    yield from counted(runs, k, frequent)
+
+    def counted(runs: Runs, k: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+        start, fp = runs.of(k)
+        if not len(frequent) or not len(start):
+            return
+        hit = frequent[np.minimum(np.searchsorted(frequent, fp), len(frequent) - 1)] == fp
+        start, fp = start[hit], fp[hit]
+        order = np.argsort(fp, kind="stable")
+        start, fp = start[order], fp[order]
+        # A run is its language and words; equal fingerprints of others are runs of their own.
+        new = np.ones(len(fp), dtype=bool)
+        new[1:] = (fp[1:] != fp[:-1]) | (runs.lang[start[1:]] != runs.lang[start[:-1]])
+        for i in range(k):
+            new[1:] |= runs.ids[start[1:] + i] != runs.ids[start[:-1] + i]
+        first = np.flatnonzero(new)
+        at = start[first]
+        found = [[runs.words[w] for w in runs.ids[at + i].tolist()] for i in range(k)]
+        yield out(runs, k, runs.lang[at], list(map(b" ".join, zip(*found))),
+                  np.diff(np.append(first, len(fp))))
+
+    def out(runs: Runs, k: int, lang: np.ndarray, phrases: list, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.DictionaryArray.from_arrays(
+                pa.array(lang.astype(np.int32)), pa.array(runs.langs, pa.string())).cast(pa.string()),
+            pa.array(np.full(len(n), k, dtype=np.int32)),
+            pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))],
+            names=["lang", "k", "phrase", "n"])
+
+    return chunks.select("langs", "lengths", "data", "answers").mapInArrow(
+        run, "lang string, k int, phrase string, n long")
 
 
 def counts(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", *,
-    longest: int = LONGEST, least: int = LEAST, bits: int = 64,
+    docs: DataFrame, text: str = "text", lang: str = "lang", *, longest: int = LONGEST,
+    least: int = LEAST, chunk: int = CHUNK, spare: int = SPARE,
 ) -> DataFrame:
-    """(lang, words, n) of all runs of 0 to ``longest`` words that occur ``least`` times."""
-    docs = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    summed = stored(_counted(docs, longest, bits).groupBy("fp").agg(
-        F.sum("n").alias("n"), F.min("doc").alias("doc"), F.min("tag").alias("tag"),
-        F.max("tag").alias("other")).where(F.col("n") >= least))
-    frequent = summed.where("tag = other").select("fp", "tag", "n", "doc")
-    collided = summed.where("tag <> other").select("fp")
-    if not collided.isEmpty():
-        again = _counted(docs, longest, bits).join(collided, "fp", "left_semi")
-        frequent = stored(frequent.union(again.groupBy("fp", "tag").agg(
-            F.sum("n").alias("n"), F.min("doc").alias("doc")).where(F.col("n") >= least)))
-    return frequent.join(_written_out(docs, frequent, longest, bits), ["fp", "tag"]).select(
-        "lang", "words", "n")
+    """(lang, k, phrase, n) of all runs of up to ``longest`` words that occur ``least`` times,
+    and for k = 0 the number of words of each language."""
+    chunks = stored(_chunks(docs.select(F.coalesce(F.col(lang), F.lit("und")), text), chunk))
+    held, = chunks.agg(F.sum("held")).first()
+    total = longest * (held or 0)
+    ranges, bits = 1 << (total // RANGE).bit_length(), min(64, total.bit_length() + spare)
+    answers = _answers(_sent(chunks, ranges, longest, bits), least).groupBy("chunk").agg(
+        F.collect_list("fps").alias("answers"))
+    return _written_out(chunks.join(answers, "chunk", "left"), longest, bits).groupBy(
+        "lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("k") == 0) | (F.col("n") >= least))
 
 
 def collocations(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", *,
-    longest: int = LONGEST, least: int = LEAST, share: int = SHARE, first: int | None = FIRST,
-    bits: int = 64,
+    docs: DataFrame, text: str = "text", lang: str = "lang", *, longest: int = LONGEST,
+    least: int = LEAST, share: int = SHARE, first: int | None = FIRST, chunk: int = CHUNK,
+    spare: int = SPARE,
 ) -> DataFrame:
     """Each language's phrases, best first: lang, rank, phrase, a, l, r, n, score."""
-    runs = stored(counts(docs, key, text, lang, longest=longest, least=least, bits=bits).select(
-        "lang", F.array_join("words", " ").alias("phrase"), F.size("words").alias("k"), "words", "n"))
+    runs = stored(counts(docs, text, lang, longest=longest, least=least, chunk=chunk, spare=spare)
+                  .withColumn("words", F.split("phrase", " ")))
     total = runs.where("k = 0").select("lang", F.col("n").alias("total"))
     known = runs.where("k > 0").select("lang", F.col("phrase").alias("part"), F.col("n").alias("f"))
     found = runs.where("k > 1")
