@@ -680,6 +680,33 @@ def safety_chain(spark, folder):
     )
 
 
+@query
+def safety_preset_streaming(spark, folder):
+    """The moderate preset on a stream of all requests; each verdict in order of event time."""
+    events = read_stream(spark, folder, "events")
+    # Two last events, a day later each and in triggers of their own, let the watermark pass
+    # all real ones; without a text they are blocked before the limiter.
+    end = read_table(spark, folder, "events").agg(F.max("ts").alias("ts"))
+    path = scratch_folder(spark)
+    for day in (1, 2):
+        end.select(*[
+            F.expr(f"ts + interval {day} day").alias("ts") if f.name == "ts"
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema
+        ]).coalesce(1).write.mode("append").parquet(path)
+    marks = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    documents = read_table(spark, folder, "documents")
+    texts = documents.select("doc_id", "text")
+    log = events.union(marks).join(
+        texts, F.col("event_id") % documents.count() == F.col("doc_id"), "left",
+    ).select(F.col("event_id").alias("id"), "user_id", "ts", "text")
+    chain_ = safety_preset(per_minute=PER_MINUTE, per_hour=PER_HOUR, live=True)
+    out = run_available(chain_(log)).where("id is not null")
+    return out.select(
+        "id", "text", "blocked_by", "InputLength_result", "RateLimit_result", "RateLimit_reason",
+        "PromptInjection_result", "PIIDetection_result", F.col("RateLimit_metadata.late").alias("late"),
+    )
+
+
 @query("safety_preset_with_model")
 def safety_chain_with_model(spark, folder):
     chain_ = safety_preset("permissive", word_scorer, per_minute=PER_MINUTE, per_hour=PER_HOUR)

@@ -564,6 +564,11 @@ ORACLES: dict[str, str] = {
     "safety_preset": _safety(1000, 1, 2) + """
     SELECT id, text, blocked_by, "InputLength_result", "RateLimit_result", "RateLimit_reason",
       "PromptInjection_result", "PIIDetection_result" FROM safe""",
+    # No event comes late here; each is judged once, as in the table.
+    "safety_preset_streaming": _safety(1000, 1, 2) + """
+    SELECT id, text, blocked_by, "InputLength_result", "RateLimit_result", "RateLimit_reason",
+      "PromptInjection_result", "PIIDetection_result",
+      CASE WHEN "RateLimit_result" IS NOT NULL THEN false END AS late FROM safe""",
     "safety_preset_with_model": _safety(2000, 1, 2) + f""",
     asked AS (SELECT id, blocked_by, clear, {_DRAWN} AS k FROM safe)
     SELECT id, CASE WHEN clear AND k = 1 THEN 'TopicValidation' ELSE blocked_by END AS blocked_by,

@@ -8,6 +8,7 @@ from ..operators.judge import ContentSafetyJudge, Judge, Scorer
 from ..operators.ratelimit import RateLimit
 from ..operators.stage import Stage
 from ..operators.validators import input_length, output_length, pii_screen, prompt_injection
+from ..streaming.ratelimit import StreamRateLimit
 
 TOPIC_PROMPT = (
     "Is the query below about technology, programming, software, AI or machine learning?\n\n"
@@ -25,18 +26,20 @@ def safety_preset(
     per_minute: int | None = None,
     per_hour: int | None = None,
     judge_options: dict | None = None,
+    live: bool = False,
     **rate_options,
 ) -> Chain:
     """Checks for requests: length, rate, injection, personal data, then model checks.
 
     ``level`` is strict, moderate or permissive; anything else means moderate.  The two
     model checks are part of the chain when a scorer is given.  ``per_minute`` and
-    ``per_hour`` override the level's limits; ``rate_options`` go to ``RateLimit``.
+    ``per_hour`` override the level's limits; ``rate_options`` go to ``RateLimit``, or with
+    ``live``, for streams of requests, to ``StreamRateLimit``.
     """
     longest, minute, hour = fixed.PRESETS.get(level, fixed.PRESETS["moderate"])
     stages: list[Stage] = [
         input_length(fixed.PRESET_MIN_CHARS, longest),
-        RateLimit(
+        (StreamRateLimit if live else RateLimit)(
             minute if per_minute is None else per_minute,
             hour if per_hour is None else per_hour,
             **rate_options,

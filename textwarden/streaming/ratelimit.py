@@ -13,9 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.ratelimit import (
@@ -26,7 +27,7 @@ from ..operators.ratelimit import (
     rate_verdict,
     user_key,
 )
-from ..operators.stage import add_verdict
+from ..operators.stage import Stage, Verdict, add_verdict
 
 
 def _keep_judging(limits: Limits, output: list[str]):
@@ -115,3 +116,186 @@ def rate_limit_stream(
         F.col("id").alias(id_col), "user", "us", f"{name}_result", f"{name}_reason",
         f"{name}_metadata",
     )
+
+
+# ---- as a stage of a chain -----------------------------------------------
+
+LATE = 3
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class _Limiter(StatefulProcessor):
+    """One user's requests: rows that wait in a list, admitted times and clock in a value.
+
+    A timer fires when the watermark passes the first waiting row, and another one an hour
+    after the last admitted time, when nothing depends on it any more.
+    """
+
+    def __init__(self, limits: Limits, on_arrival: bool, id_type: T.DataType):
+        self.limits, self.on_arrival, self.id_type = limits, on_arrival, id_type
+
+    def init(self, handle) -> None:
+        row = T.StructType([
+            T.StructField("us", T.LongType()), T.StructField("id", self.id_type),
+            T.StructField("row", T.StringType())])
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", row)
+        self.past = handle.getValueState("past", "admitted array<long>, clock long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        new = []
+        for frame in rows:
+            on = frame["on"].to_numpy(dtype=bool)
+            if not on.all():
+                yield _answers(frame["row"][~on], -1, 0)
+            late = on & (frame["us"].to_numpy() <= passed) & (not self.on_arrival)
+            if late.any():
+                yield _answers(frame["row"][late], LATE, 0)
+            new.append(frame[on & ~late])
+        got = pd.concat(new, ignore_index=True)
+        if not len(got):
+            return
+        if self.on_arrival:
+            yield self._judged(got.sort_values(["us", "id"], ignore_index=True), passed)
+            self._wake_for_cleaning(passed)
+            return
+        self.waiting.appendList(list(zip(got["us"].tolist(), got["id"].tolist(), got["row"])))
+        self._wake(int(got["us"].min()) // 1000 + 1, passed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        if self.waiting.exists():
+            held = pd.DataFrame(list(self.waiting.get()), columns=["us", "id", "row"])
+            held = held.sort_values(["us", "id"], ignore_index=True)
+            ready = int(np.searchsorted(held["us"].to_numpy(), passed, side="right"))
+            if ready:
+                yield self._judged(held.iloc[:ready], 0)
+                rest = held.iloc[ready:]
+                if len(rest):
+                    self.waiting.put(list(zip(rest["us"].tolist(), rest["id"].tolist(), rest["row"])))
+                else:
+                    self.waiting.clear()
+            if ready < len(held):
+                self._wake(int(held["us"].iloc[ready]) // 1000 + 1, passed)
+        self._wake_for_cleaning(passed)
+
+    def _judged(self, rows: pd.DataFrame, passed: int) -> pd.DataFrame:
+        admitted, clock = self.past.get() if self.past.exists() else ([], passed)
+        # On arrival a user's clock never runs back.
+        times = rows["us"].to_numpy(dtype=np.int64)
+        times = np.maximum(times, max(clock, passed)) if self.on_arrival else times
+        code, count, admitted = judge_run(times, list(admitted), self.limits)
+        self.past.update(([int(t) for t in admitted], int(times[-1])))
+        return _answers(rows["row"], code, count)
+
+    def _wake(self, at: int, passed: int) -> None:
+        """A timer for ``at``, unless one that has not expired yet comes first."""
+        if not any(passed < t * 1000 <= at * 1000 for t in self.handle.listTimers()):
+            self.handle.registerTimer(at)
+
+    def _wake_for_cleaning(self, passed: int) -> None:
+        if not self.past.exists():
+            return
+        last = self.past.get()[1] + HOUR_US
+        if last < passed:
+            self.past.clear()
+        else:
+            self._wake(last // 1000 + 1, passed)
+
+    def close(self) -> None:
+        pass
+
+
+def _answers(rows: pd.Series, code, count) -> pd.DataFrame:
+    return pd.DataFrame({"row": rows.to_numpy(), "code": code, "count": count})
+
+
+class StreamRateLimit(Stage):
+    """Rate limiting of a stream of requests as a stage: every column of a row stays.
+
+    ``judge="event"`` decides in order of event time: rows wait until the watermark passes
+    them, and get the verdicts that ``RateLimit`` gives to the whole table.  A row that
+    comes after the watermark has passed it is late: it uses no quota, is blocked, and its
+    metadata say so (``late``); ``late_rows`` and ``on_time_rows`` tell the two outputs apart.
+    ``judge="arrival"`` decides at once, in order of arrival and by event time within a
+    trigger; a user's clock never runs back, so a row with an earlier time counts as of the
+    latest time seen.  Rows that an earlier stage has blocked pass at once without a verdict.
+
+    The state needs the RocksDB store, which is set here in place of Spark's default.  Rows go
+    through the state as JSON, so variants and maps without string keys are refused.
+    """
+
+    def __init__(
+        self, max_requests_per_minute: int | None = None, max_requests_per_hour: int | None = None,
+        user_col: str = "user_id", ts_col: str = "ts", id_col: str = "id",
+        watermark: str = "10 minutes", judge: str = "event", name: str = "RateLimit",
+    ):
+        super().__init__(name)
+        if judge not in ("event", "arrival"):
+            raise ValueError(f'judge must be "event" or "arrival", not {judge!r}')
+        self.limits = Limits(max_requests_per_minute or None, max_requests_per_hour or None)
+        self.user_col, self.ts_col, self.id_col = user_col, ts_col, id_col
+        self.watermark, self.on_arrival = watermark, judge == "arrival"
+
+    def apply(self, df: DataFrame, text_col: str, active: Column | None = None) -> DataFrame:
+        for field in df.schema:
+            if any(not _survives_json(t) for t in _types(field.dataType)):
+                raise TypeError(f"{field.name} cannot wait in the state: {field.dataType.simpleString()}")
+        spark = df.sparkSession
+        if "HDFSBacked" in spark.conf.get(_PROVIDER):
+            spark.conf.set(_PROVIDER, _ROCKS)
+        on = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
+        # The event time itself is left out below: the limiter, not Spark, sorts out late rows.
+        rows = df.withColumn("__event_time", F.timestamp_micros(micros(df, self.ts_col))).withWatermark(
+            "__event_time", self.watermark).select(
+            user_key(F.col(self.user_col)).alias("user"), F.col(self.id_col).alias("id"),
+            micros(df, self.ts_col).alias("us"), on.alias("on"),
+            F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _JSON).alias("row"))
+        judged = rows.groupBy("user").transformWithStateInPandas(
+            _Limiter(self.limits, self.on_arrival, rows.schema["id"].dataType),
+            "row string, code int, count int", "append", "EventTime")
+        whole = judged.select(F.from_json("row", df.schema, _JSON).alias("row"), "code", "count")
+        code, count, user = "__code", "__count", user_key(F.col(self.user_col))
+        whole = whole.select("row.*", F.col("code").alias(code), F.col("count").alias(count))
+        verdict = rate_verdict(user, F.col(code), F.col(count), self.limits)
+        late = F.col(code) == LATE
+        verdict = Verdict(
+            verdict.action,
+            F.when(late, "Request came after its time had been judged").otherwise(verdict.reason),
+            verdict.metadata.withField("late", late))
+        return add_verdict(whole, self.name, text_col, F.col(code) >= 0, verdict).drop(code, count)
+
+
+def _types(kind: T.DataType) -> Iterator[T.DataType]:
+    yield kind
+    for inner in (
+        [f.dataType for f in kind] if isinstance(kind, T.StructType)
+        else [kind.elementType] if isinstance(kind, T.ArrayType)
+        else [kind.valueType] if isinstance(kind, T.MapType) else []
+    ):
+        yield from _types(inner)
+
+
+def _survives_json(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return isinstance(kind.keyType, T.StringType)
+    return not isinstance(kind, (T.VariantType, T.DayTimeIntervalType, T.YearMonthIntervalType))
+
+
+def _is_late(name: str) -> Column:
+    return F.coalesce(F.col(f"{name}_metadata.late"), F.lit(False))
+
+
+def late_rows(screened: DataFrame, name: str = "RateLimit") -> DataFrame:
+    """The second output of the limiter: rows that came too late to be judged."""
+    return screened.where(_is_late(name))
+
+
+def on_time_rows(screened: DataFrame, name: str = "RateLimit") -> DataFrame:
+    return screened.where(~_is_late(name))
