@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from textwarden.functions import fixed_values as fixed
 from textwarden.functions.objects import extract_json, read_verdict
 from textwarden.functions.regex import java_pattern
-from textwarden.operators.compose import replace_on_block, routed
+from textwarden.operators.compose import Chain, replace_messages_on_block, replace_on_block, routed
 from textwarden.operators.judge import parse_verdict, verdict_threshold
-from textwarden.operators.validators import input_length, keyword_lexicon, output_length
+from textwarden.operators.lexicon import Lexicon, keyword_lexicon
+from textwarden.operators.validators import input_length, output_length
 from textwarden.sources.content import last_turns
 
 
@@ -80,8 +81,39 @@ def test_lexicon_of_ten_thousand_words(spark, run_text):
     assert [r["ContentSafety_result"] for r in rows] == ["block", "block", "allow", "allow", "allow"]
     assert rows[0]["ContentSafety_metadata"]["violations"] == ["c0", "c9"]
     assert rows[1]["ContentSafety_metadata"]["violations"] == ["c0", "c2"]
-    with pytest.raises(ValueError):
-        keyword_lexicon(spark.createDataFrame(words, "category string, keyword string"), most_words=10)
+
+
+def test_lexicon_of_three_million_words(spark):
+    """Joins only: no Python in the plan, no word is collected."""
+    words = spark.range(3_000_000).select(
+        F.concat(F.lit("c"), F.col("id") % 4).alias("category"),
+        F.concat(F.lit("q"), F.conv(F.col("id") * 7919 + 36 ** 5, 10, 36), F.lit("z")).alias("keyword"))
+    long = "ä" * 70_000
+    pick = {r["keyword"].lower(): r["category"] for r in words.where("id in (5, 70000, 2999999)").collect()}
+    texts = [(0, "no word here"), (1, long + list(pick)[0] + long), (2, "x" * 65_533 + list(pick)[1]),
+             (3, "--" + list(pick)[2].upper() + list(pick)[0]), (4, list(pick)[0][:-1]), (5, ""), (6, None)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    out = keyword_lexicon(words)(df)
+    assert "Python" not in out._jdf.queryExecution().toString()
+    got = {r["id"]: r["ContentSafety_metadata"]["violations"] for r in out.collect()}
+    cats = list(pick.values())
+    assert got == {0: None, 1: [cats[0]], 2: [cats[1]], 3: sorted({cats[0], cats[2]}), 4: None, 5: None, 6: None}
+
+
+def test_lexicon_of_short_words_in_a_chain(spark):
+    words = spark.createDataFrame(
+        [("a", "x"), ("b", "\U0001F600b"), ("c", "kill"), ("d", "killing time"), ("d", ""), (None, "z"), ("e", None)],
+        "category string, keyword string")
+    df = spark.createDataFrame(
+        [(i, t) for i, t in enumerate(["axe", "\U0001F600B", "KILLING  time", "Killing Time!", "z", "ab", "ab"])],
+        "id long, text string")
+    chain = Chain([input_length(3), Lexicon(words)])
+    got = {r["id"]: (r["ContentSafety_result"], (r["ContentSafety_metadata"] or {"violations": None})["violations"])
+           for r in chain(df).collect()}
+    assert got == {0: ("block", ["a"]), 1: (None, None), 2: ("block", ["c"]), 3: ("block", ["c", "d"]),
+                   4: (None, None), 5: (None, None), 6: (None, None)}
+    empty = Lexicon(words.where("false"))(df)
+    assert {r["ContentSafety_result"] for r in empty.collect()} == {"allow"}
 
 
 def test_routed_asks_once(spark):
@@ -90,3 +122,16 @@ def test_routed_asks_once(spark):
     accepted, rejected = routed(df, ["X"])
     assert sorted(r["id"] for r in accepted.union(rejected).collect()) == list(range(2000))
     assert accepted.where("X_result = 'block'").count() == 0 == rejected.where("X_result <> 'block'").count()
+
+
+def test_replaced_messages_keep_the_first(spark):
+    kind = "array<struct<role: string, content: string>>"
+    talk = [("user", "hi"), ("assistant", "x"), ("user", "and?"), ("assistant", "y")]
+    df = spark.createDataFrame(
+        [(0, talk, "allow"), (1, talk, "block"), (2, [], "block"), (3, None, "block"), (4, talk, None)],
+        f"id long, messages {kind}, X_result string")
+    out = replace_messages_on_block(df, "X", error=F.col("id") == 4).orderBy("id").collect()
+    got = [[tuple(m) for m in r["messages"]] for r in out]
+    sorry = ("assistant", fixed.RETRY_APOLOGY)
+    assert got == [talk, [talk[0], sorry], [("user", ""), sorry], [("user", ""), sorry],
+                   [talk[0], ("assistant", fixed.ERROR_APOLOGY)]]

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textwarden.operators import judge as jd
+from textwarden.operators.replies import ReplyStore
 from textwarden.operators.stage import Verdict
 from textwarden.plans.standins import failing_scorer, word_scorer
 
@@ -60,6 +61,35 @@ def test_each_distinct_prompt_is_sent_once(spark, tmp_path):
     assert len(open(log).readlines()) == 4
 
 
+def test_a_lasting_store_asks_what_it_has_not_seen(spark, tmp_path):
+    log, path = str(tmp_path / "calls"), str(tmp_path / "store")
+
+    def scorer(system_prompt, prompts):
+        with open(log, "a") as out:
+            out.writelines("call\n" for _ in prompts)
+        return [RuntimeError("busy") if "bad" in p else "okay" for p in prompts]
+
+    def run(texts, **options):
+        df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+        replies = ReplyStore(path, options.pop("model", "m"), **options)
+        rows = jd.Judge(scorer, replies=replies)(df).orderBy("id").collect()
+        before, run.calls = run.calls, len(open(log).readlines())
+        return [r["ModelJudge_result"] for r in rows], run.calls - before
+
+    run.calls = 0
+    assert run(["a", "b", "a", None, "bad"], slices=3, callers=2) == (["allow"] * 3 + ["warn"] * 2, 4)
+    assert run(["a", "c", "b"]) == (["allow"] * 3, 1)
+    assert run(["a", "b", "c", "bad"], slices=2) == (["allow"] * 3 + ["warn"], 1)
+    assert run(["a", "b"]) == (["allow"] * 2, 0)
+    assert run(["a"], model="other") == (["allow"], 1)
+    # A slice written twice does no harm.
+    stored = spark.read.schema("key string, answer struct<value: string, error: string>").parquet(path)
+    stored.write.parquet(f"{path}/run=again")
+    assert run(["a", "b", "c"]) == (["allow"] * 3, 0)
+    with pytest.raises(ValueError):
+        ReplyStore(path, slices=0)
+
+
 def test_failures_and_fallbacks(run_text):
     texts = ["seven 7", "hate"]
     rows = run_text(jd.Judge(failing_scorer), texts)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_folder
+from .replies import ReplyStore
 
 
 def _batched(fn: Callable[[list[str]], Sequence], schema: T.StructType, batch_size: int):
@@ -60,6 +61,8 @@ def call_per_text(
     batch_size: int = 64,
     concurrency: int | None = None,
     store: bool = False,
+    replies: ReplyStore | None = None,
+    settings: str = "",
 ) -> DataFrame:
     """Add ``out_col struct<value, error>``; NULL text is not sent and gets NULL.
 
@@ -68,15 +71,16 @@ def call_per_text(
     shuffle and only saves repeats within an Arrow batch: right for cheap functions.
     ``concurrency`` is the number of tasks calling the function at a time.  ``store``
     writes the answers to the shared scratch folder, so that several uses of the result
-    see the same ones.
+    see the same ones; ``replies`` keeps them in a lasting store, under the text and
+    ``settings``, and asks only what is not there yet.
     """
     schema = T.StructType(
         [T.StructField("value", value_type), T.StructField("error", T.StringType())]
     )
     call = _batched(fn, schema, batch_size)
     if share == "batch":
-        if store:
-            raise ValueError('store needs share="table"')
+        if store or replies is not None:
+            raise ValueError('storing answers needs share="table"')
         return df.withColumn(out_col, call(text))
     if share != "table":
         raise ValueError(f'share must be "table" or "batch", not {share!r}')
@@ -86,25 +90,32 @@ def call_per_text(
     # Distinct over the one column: combined in each task before the shuffle, so a text
     # that makes up a third of the table leaves each task once.
     texts = df.select(sent).filter(F.col(sent).isNotNull()).distinct()
-    if concurrency:
-        texts = texts.repartition(concurrency)
-    answers = texts.withColumn(out_col, call(F.col(sent))).select(
-        F.sha2(F.col(sent), 256).alias(key), out_col
-    )
+    told = F.sha2(F.col(sent), 256) if replies is None else replies.key(F.col(sent), settings)
+    if replies is not None:
+        asked = texts.select(told.alias("key"), F.col(sent).alias("text"))
+        answers = replies.ask(asked, call, schema).toDF(key, out_col)
+    else:
+        if concurrency:
+            texts = texts.repartition(concurrency)
+        answers = texts.withColumn(out_col, call(F.col(sent))).select(told.alias(key), out_col)
     if store:
         folder = scratch_folder(df.sparkSession)
         answers.write.parquet(folder)
         answers = df.sparkSession.read.schema(answers.schema).parquet(folder)
-    # Joined back on a digest rather than on whole texts.  Unsent rows get keys of their
-    # own that match nothing, or they would all meet in one partition; a text shared by
-    # many rows is split by the adaptive skew join, its other side being a single row.
-    # The keys depend on nothing but the row, so a task that runs again sends each row
-    # to the same place.
+    # Joined back on a digest rather than on whole texts; a text shared by many rows is split
+    # by the adaptive skew join, its other side being a single row.
+    return df.withColumn(key, scattered_key(df, told)).join(answers, key, "left").drop(key, sent)
+
+
+def scattered_key(df: DataFrame, digest: Column) -> Column:
+    """The digest to join by; rows without one get keys of their own that match nothing, or
+    they would all meet in one partition.
+
+    The keys depend on nothing but the row, so a task that runs again sends each row to the
+    same place.
+    """
     hashable = [
         f.name for f in df.schema
         if not {"map", "variant"} & set(re.findall(r"\w+", f.dataType.simpleString()))
     ]
-    digest = F.coalesce(
-        F.sha2(F.col(sent), 256), F.concat(F.lit("-"), F.xxhash64(*hashable).cast("string"))
-    )
-    return df.withColumn(key, digest).join(answers, key, "left").drop(key, sent)
+    return F.coalesce(digest, F.concat(F.lit("-"), F.xxhash64(*hashable).cast("string")))

@@ -191,12 +191,11 @@ def route(df: DataFrame, names: Sequence[str], column: str = "route") -> DataFra
 
 
 def split(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected rows.
-
-    Both come from the same plan: when it holds a model that may answer differently the
-    second time, store its replies first (``Judge(store_replies=True)``).
-    """
-    return df.filter(~_blocked(names)), df.filter(_blocked(names))
+    """Accepted and rejected rows, of one computation (see ``routed``); on a stream, two
+    streams of the same plan."""
+    if df.isStreaming:
+        return df.filter(~_blocked(names)), df.filter(_blocked(names))
+    return routed(df, names)
 
 
 def routed(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -261,6 +260,31 @@ def replace_on_block(
     )
 
 
+def replace_messages_on_block(
+    df: DataFrame,
+    name: str,
+    messages_col: str = "messages",
+    apology: str = fixed.RETRY_APOLOGY,
+    error: Column | None = None,
+    error_apology: str = fixed.ERROR_APOLOGY,
+) -> DataFrame:
+    """As ``replace_on_block``, on an array of messages (role, content): where the answer is
+    replaced, the first message stays and the apology follows; all others go.
+
+    Without a first message (null or empty array) an empty one of the user stands there.
+    """
+    failed = F.lit(False) if error is None else F.coalesce(error, F.lit(False))
+    message = lambda role, content: F.struct(
+        F.lit(role).alias("role"), F.lit(content).alias("content"))
+    first = F.coalesce(F.get(F.col(messages_col), F.lit(0)), message("user", ""))
+    return df.withColumn(
+        messages_col,
+        F.when(failed, F.array(first, message("assistant", error_apology)))
+        .when(_blocked([name]), F.array(first, message("assistant", apology)))
+        .otherwise(F.col(messages_col)),
+    )
+
+
 def multi_outcome_route(
     df: DataFrame, labels: Sequence[tuple[str, str]], column: str = "route"
 ) -> DataFrame:

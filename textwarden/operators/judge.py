@@ -18,6 +18,7 @@ from ..functions import fixed_values as fixed
 from ..functions.objects import read_verdict
 from ..functions.text import render_prompt, template_fields
 from .batch import call_per_text
+from .replies import ReplyStore
 from .stage import ALLOW, BLOCK, WARN, ColumnStage, Stage, Verdict, add_verdict
 from .validators import keyword_safety
 
@@ -118,7 +119,8 @@ class Judge(Stage):
     taken from ``variables`` (columns) or ``metadata_col`` (a string map column); those
     win over the content.  ``fallback`` maps the text column to a ``Verdict`` used when
     there is no scorer or it fails.  ``parse`` replaces ``parse_verdict``: it maps the
-    reply column to ``is_safe``, ``reason`` and ``confidence`` columns.
+    reply column to ``is_safe``, ``reason`` and ``confidence`` columns.  ``replies`` is a
+    lasting ``ReplyStore``: prompts answered by an earlier run are not sent again.
     """
 
     failure_prefix = fixed.JUDGE_FAILED
@@ -139,13 +141,15 @@ class Judge(Stage):
         batch_size: int = 64,
         concurrency: int | None = None,
         store_replies: bool = False,
+        replies: ReplyStore | None = None,
     ):
         super().__init__(name)
         self.scorer, self.system_prompt, self.instruction = scorer, system_prompt, instruction
         self.threshold, self.fallback, self.parse = threshold, fallback, parse
         self.variables, self.metadata_col = dict(variables or {}), metadata_col
         self.call_options = dict(
-            share=share, batch_size=batch_size, concurrency=concurrency, store=store_replies
+            share=share, batch_size=batch_size, concurrency=concurrency, store=store_replies,
+            replies=replies, settings=system_prompt or "",
         )
 
     def _variables(self, text: Column) -> dict[str, Column]:

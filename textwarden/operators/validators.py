@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator, Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -227,7 +226,7 @@ def pii_screen(
 
 # ---- keywords and patterns -----------------------------------------------
 
-def _keyword_verdict(violations: Column) -> Verdict:
+def keyword_verdict(violations: Column) -> Verdict:
     hit = F.size(violations) > 0
     said = F.concat(F.lit("Potential safety issues detected: "), F.array_join(violations, ", "))
     return Verdict(
@@ -260,55 +259,11 @@ def keyword_safety(
         return {"violations": _hits(pairs)}
 
     def decide(text: Column, known: dict[str, Column]) -> Verdict:
-        return _keyword_verdict(known["violations"])
+        return keyword_verdict(known["violations"])
 
     return ColumnStage(name, decide, [lower, look])
 
 
-def keyword_lexicon(
-    lexicon: DataFrame, category: str = "category", keyword: str = "keyword",
-    name: str = "ContentSafety", most_words: int = 2_000_000,
-) -> Stage:
-    """``keyword_safety`` over a table of (category, keyword), however long.
-
-    The words, at most ``most_words`` of them (more are an error), are sent to the executors
-    once; each task builds one automaton that finds all of them in a single pass over a text.
-    Categories come in sort order.  Keywords are compared in lower case, null and empty ones
-    left out.
-    """
-    rows = (
-        lexicon.select(F.col(category).alias("c"), F.lower(F.col(keyword)).alias("k"))
-        .where("c is not null and k is not null and k <> ''").distinct().limit(most_words + 1)
-    )
-    pairs = sorted((r["k"], r["c"]) for r in rows.collect())
-    if len(pairs) > most_words:
-        raise ValueError(f"the lexicon has over {most_words} words")
-    shared = lexicon.sparkSession.sparkContext.broadcast(pairs)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        found = ahocorasick.Automaton()
-        for word, label in shared.value:
-            found.add_word(word, (*found.get(word, ()), label))
-        if len(found):
-            found.make_automaton()
-        for texts in batches:
-            yield pd.Series([
-                sorted({label for _, labels in found.iter(t) for label in labels})
-                if isinstance(t, str) and len(found) else [] for t in texts])
-
-    hits = F.pandas_udf(run, "array<string>").asNondeterministic()
-
-    def look(text: Column, _: dict[str, Column]) -> dict[str, Column]:
-        return {"violations": hits(F.lower(text))}
-
-    def decide(text: Column, known: dict[str, Column]) -> Verdict:
-        return _keyword_verdict(known["violations"])
-
-    return ColumnStage(name, decide, [look])
-
-
 def prompt_injection(
     strict: bool = True,
     custom_patterns: Sequence[str] = (),

@@ -25,12 +25,15 @@ from ..operators.compose import (
     apply_check,
     multi_outcome_route,
     rejection,
+    replace_messages_on_block,
     replace_on_block,
     route,
     routed,
     verdict_flags,
 )
+from ..operators.lexicon import keyword_lexicon
 from ..operators.ratelimit import RateLimit, rate_limit
+from ..operators.replies import ReplyStore
 from ..operators.similarity import SemanticAllowBlock, SemanticTopic, embed_column
 from ..operators.stage import ALLOW, BLOCK, Stage, Verdict, custom_stage, result_columns
 from ..session import scratch_folder
@@ -200,7 +203,7 @@ def _lexicon(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def keyword_safety_lexicon(spark, folder):
-    docs = va.keyword_lexicon(_lexicon(spark, folder))(_documents(spark, folder))
+    docs = keyword_lexicon(_lexicon(spark, folder))(_documents(spark, folder))
     return _verdict(docs, "ContentSafety", ["doc_id"], violations="violations")
 
 
@@ -463,6 +466,16 @@ def model_judge(spark, folder):
     return _verdict(docs, "ModelJudge", ["doc_id"], confidence="confidence")
 
 
+@query
+def reply_store(spark, folder):
+    """The judge twice over one lasting store; the second run asks nothing."""
+    docs, path = _documents(spark, folder), scratch_folder(spark)
+    first = jd.Judge(word_scorer, replies=ReplyStore(path, "words", slices=3, callers=4))(docs)
+    again = jd.Judge(failing_scorer, replies=ReplyStore(path, "words", slices=2))(docs)
+    return _verdict(first, "ModelJudge", ["doc_id"], confidence="confidence").join(
+        again.select("doc_id", F.col("ModelJudge_result").alias("result_again")), "doc_id")
+
+
 def _replies(spark: SparkSession, folder: str) -> DataFrame:
     """Replies made from the labels: JSON, JSON inside prose, plain words, broken JSON."""
     labels = read_table(spark, folder, "labels")
@@ -658,6 +671,20 @@ def replace_blocked_answer(spark, folder):
     return last.select("conv_id", "text")
 
 
+@query
+def replace_messages(spark, folder):
+    """Whole conversations: blocked last answers give way to an apology after the first turn."""
+    turns = read_table(spark, folder, "conversations").groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    talks = turns.select(
+        "conv_id", F.element_at("turns", -1).alias("last"),
+        F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+        .alias("messages"))
+    talks = va.output_length(150, 250)(talks.withColumn("text", F.col("last.text")))
+    talks = replace_messages_on_block(talks, "OutputLength", error=F.col("last.role") != "assistant")
+    return talks.select("conv_id", F.to_json("messages").alias("messages"))
+
+
 @query("multi_outcome_route")
 def multi_outcome(spark, folder):
     docs = _chained(spark, folder)

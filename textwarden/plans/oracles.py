@@ -481,6 +481,7 @@ ORACLES: dict[str, str] = {
       CASE WHEN far >= 0.261 THEN 'label ' || tf WHEN near >= 0.213 THEN 'label ' || tn END AS topic,
       CASE WHEN far >= 0.261 THEN 0.261 ELSE 0.213 END AS threshold FROM a""",
     "model_judge": _judged(0.7, ", c AS confidence"),
+    "reply_store": f"SELECT *, result AS result_again FROM ({_judged(0.7, ', c AS confidence')})",
     "parse_verdict": f"WITH {_LABEL_VERDICTS} SELECT doc_id, is_safe, reason, confidence FROM parsed",
     "verdict_threshold": f"""
     WITH {_LABEL_VERDICTS}
@@ -557,6 +558,16 @@ ORACLES: dict[str, str] = {
       WHEN length(text) < 150 THEN {_q(fixed.RETRY_APOLOGY)}
       WHEN length(text) > 250 THEN substr(text, 1, 247) || '...' ELSE text END AS text
     FROM ({_LAST_TURNS})""",
+    "replace_messages": f"""
+    WITH turns AS (
+        SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn, role, text) AS m
+        FROM conversations GROUP BY conv_id),
+    answers AS (SELECT conv_id, m, m[1] AS first, CASE WHEN m[-1].role <> 'assistant'
+            THEN {_q(fixed.ERROR_APOLOGY)} WHEN coalesce(length(m[-1].content), 0) NOT BETWEEN 150 AND 250
+            THEN {_q(fixed.RETRY_APOLOGY)} END AS sorry FROM turns)
+    SELECT conv_id, CAST(to_json(CASE WHEN sorry IS NULL THEN m
+        ELSE [first, struct_pack(role := 'assistant', content := sorry)] END) AS VARCHAR) AS messages
+    FROM answers""",
     "multi_outcome_route": f"""
     WITH {_CHAIN}
     SELECT doc_id, CASE blocked_by WHEN 'ContentSafety' THEN 'reject_unsafe'
