@@ -19,9 +19,12 @@ texts are encoded whole; repeated rows give equal results; other columns are unt
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import struct
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,6 +40,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 # Words kept in a task: a bound on memory, not on what is encoded.
 CACHE = 120_000
+# Texts in a frame that goes back to Spark.
+FRAME = 128
 SCHEMA = "ids array<int>, parity boolean, round_trip boolean"
 
 
@@ -270,6 +275,21 @@ def _model_bytes(path: str) -> bytes:
         return file.read()
 
 
+def _encoder(raw: bytes, threads: int) -> Encoder:
+    """One encoder for all tasks of a worker process, that of the last model used.
+
+    Functions travel to the workers by value, with globals of their own in each task, so it
+    is kept where the process keeps its modules.
+    """
+    held = sys.modules.setdefault("_textwarden_encoder", types.ModuleType("_textwarden_encoder"))
+    name = hashlib.sha256(raw).hexdigest(), threads
+    if getattr(held, "name", None) != name:
+        held.name, held.encoder = None, None
+        held.encoder = Encoder(raw, threads)
+        held.name = name
+    return held.encoder
+
+
 def encode(docs: DataFrame, text: str = "text", out_col: str = "tokens",
            model_path: str = MODEL_PATH, threads: int | None = None,
            check: bool = False) -> DataFrame:
@@ -278,20 +298,19 @@ def encode(docs: DataFrame, text: str = "text", out_col: str = "tokens",
     raw, threads = _model_bytes(model_path), _threads(docs, threads)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(raw, threads)
+        encoder = _encoder(raw, threads)
         for series in batches:
-            texts = [t if isinstance(t, str) else "" for t in series]
-            ids, same, back = [], [], []
-            for at in range(0, len(texts), 64):
-                rows = encoder.encode(texts[at:at + 64])
-                ids += [r[0] for r in rows]
-                same += [r[1] for r in rows]
-                if check:
-                    back += [x == y for x, y in zip(
-                        encoder.decode(ids[at:at + 64]), texts[at:at + 64])]
-            yield pd.DataFrame({
-                "ids": ids, "parity": same,
-                "round_trip": pd.Series(back if check else [None] * len(ids), dtype=object)})
+            # Few texts' ids at a time; Spark takes smaller frames than it has sent.
+            for at in range(0, len(series), FRAME):
+                texts = [t if isinstance(t, str) else "" for t in series.iloc[at:at + FRAME]]
+                rows = encoder.encode(texts)
+                ids = [r[0] for r in rows]
+                back = [x == y for x, y in zip(encoder.decode(ids), texts)] if check else None
+                yield pd.DataFrame({
+                    "ids": ids, "parity": [r[1] for r in rows],
+                    "round_trip": pd.Series(back or [None] * len(ids), dtype=object)})
+            if not len(series):
+                yield pd.DataFrame({"ids": [], "parity": [], "round_trip": []})
 
     return docs.withColumn(out_col, F.pandas_udf(run, SCHEMA).asNondeterministic()(F.col(text)))
 
@@ -302,7 +321,7 @@ def decode(df: DataFrame, ids: str = "ids", out_col: str = "decoded",
     raw, threads = _model_bytes(model_path), _threads(df, threads)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(raw, threads)
+        encoder = _encoder(raw, threads)
         for series in batches:
             yield pd.Series(encoder.decode(list(series)), dtype=object)
 
