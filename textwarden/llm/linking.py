@@ -18,65 +18,85 @@ def shared_members(rows: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """(band, node, component) of the bands whose members are in several components."""
-    placed = members.join(parts, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component"))
+    """(band, node, component, weight) of the bands whose members are in several components."""
+    placed = stored(members.select("band", "node").join(parts, "node"))
     several = placed.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return stored(placed.join(several.select("band"), "band"))
+    return stored(placed.join(several.select("band"), "band", "left_semi"))
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component, weight) after links between nodes.
+
+    Only the components that the links join are contracted, over one link per pair of them.
+    """
+    of = parts.select("node", "component")
+    pairs = links.join(of.toDF("a", "one"), "a").join(of.toDF("b", "two"), "b").select(
+        F.col("one").alias("a"), F.col("two").alias("b"))
+    roots = stored(components(pairs).toDF("component", "root"))
+    weights = parts.select("component", "weight").distinct().join(roots, "component")
+    total = weights.groupBy("root").agg(F.sum("weight").alias("total"))
+    moved = stored(roots.join(total, "root"))
+    return stored(parts.join(moved, "component", "left").select(
+        "node", F.coalesce("root", "component").alias("component"),
+        F.coalesce("total", "weight").alias("weight")))
 
 
 def link_components(
-    members: DataFrame, sides: DataFrame, likely: Callable[[Callable, Callable], Column],
-    accept: Callable[[DataFrame], DataFrame], rounds: int = 1,
+    members: DataFrame, sides: DataFrame, distance: Callable[[Callable, Callable], Column],
+    most: int, accept: Callable[[DataFrame], DataFrame], rounds: int = 4,
 ) -> DataFrame:
-    """(node, component) of the nodes with links.
+    """(node, component) of the nodes that share a band.
 
-    ``sides`` has columns of each node; ``likely`` makes of them, for the two sides of a
-    pair, the condition for a closer look; ``accept`` keeps the true pairs (a, b).
+    ``sides`` has columns of each node; ``distance`` makes of them, for the two sides of a
+    pair, an estimate of how far apart they are, which is up to ``most`` for all that are worth
+    a closer look; ``accept`` keeps the true pairs (a, b).
 
-    First each band's most popular member (that of most shared bands, counted by their
-    sizes) is paired with the others.  A band whose members are then in one component is
-    done.  The others are given ``rounds`` more members (of the largest component, by hash), and in what is
-    still open all likely pairs across components are tried.  So every likely pair that
-    shares a band is linked, found to be no link, or already connected, while a group of
-    copies costs a few pairs for each of its members.
+    In a round every node has one try: of the hubs of its bands, the nearest within ``most``.
+    A band's hub is a member of its heaviest component (weights are summed from the sizes of
+    shared bands), in turn its most popular one and any.  What is accepted is one link for
+    each node at most; components are merged by it before the next round.  A band whose members
+    are in one component is closed and its rows are left out from then on; when none is open,
+    that is all.  After the rounds all pairs within ``most`` across the components of the open
+    bands are tried, each in the first band that its two nodes share.  So every such pair that
+    shares a band is linked, found to be no link, or already connected, while a group of copies
+    costs one pair for each member.
     """
     names = [c for c in sides.columns if c != "node"]
     one, two = sides.toDF(*[f"a_{c}" for c in sides.columns]), sides.toDF(
         *[f"b_{c}" for c in sides.columns])
-    condition = likely(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
-
-    def tried(pairs: DataFrame) -> DataFrame:
-        rows = pairs.distinct().join(one, F.col("a") == F.col("a_node")).join(
-            two, F.col("b") == F.col("b_node"))
-        return stored(accept(rows.where(condition).select("a", "b")))
-
-    popular = members.groupBy("node").agg(F.sum("n").alias("popularity"))
-    hubs = members.join(popular, "node").groupBy("band").agg(
-        F.max_by("node", F.struct("popularity", -F.col("node"))).alias("hub"))
-    links = tried(members.join(hubs, "band").where("hub <> node").select(
-        F.col("node").alias("a"), F.col("hub").alias("b")))
+    far = distance(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
+    popular = stored(members.groupBy("node").agg(F.sum("n").alias("popularity")))
+    parts = popular.select("node", F.col("node").alias("component"), F.col("popularity").alias("weight"))
+    tried = None
     for turn in range(rounds):
-        parts = components(links)
-        open_ = _open(members, parts)
-        # The hub comes from the largest component, so only what is outside it is tried.
-        sizes = parts.groupBy("component").agg(F.count("*").alias("size"))
-        hubs = open_.join(sizes, "component", "left").groupBy("band").agg(
-            F.max_by(F.struct("node", "component"), F.struct(
-                F.coalesce("size", F.lit(1)), F.xxhash64("node", F.lit(turn)))).alias("hub"))
-        links = links.union(tried(open_.join(hubs, "band").where("component <> hub.component")
-                                  .select(F.col("node").alias("a"), F.col("hub.node").alias("b"))))
-    parts = components(links)
-    open_ = _open(members, parts)
-    if open_.isEmpty():
-        return parts
+        members = _open(members, parts)
+        if members.isEmpty():
+            return parts.select("node", "component")
+        likely = F.xxhash64("node", F.lit(turn)) if turn % 2 else F.col("popularity")
+        hubs = members.join(popular, "node").groupBy("band").agg(F.max_by(
+            F.struct("node", "component"), F.struct("weight", likely, -F.col("node"))).alias("hub"))
+        choices = members.join(hubs, "band").where("component <> hub.component").select(
+            F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+        if tried is not None:
+            choices = choices.join(tried, ["a", "b"], "left_anti")
+        near = choices.join(one, F.col("a") == F.col("a_node")).join(
+            two, F.col("b") == F.col("b_node")).select("a", "b", far.alias("far")).where(F.col("far") <= most)
+        pairs = stored(near.groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b")))
+        tried = pairs if tried is None else tried.union(pairs)
+        links = stored(accept(pairs))
+        if not links.isEmpty():
+            parts = _merged(parts, links)
+    members = _open(members, parts)
+    if members.isEmpty():
+        return parts.select("node", "component")
     # A pair is taken in the first of its common bands only.
-    bands = open_.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
-    rows = open_.join(bands, "node").join(sides, "node")
+    bands = members.groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bands"))
+    rows = members.select("node", "band", "component").join(bands, "node").join(sides, "node")
     x = rows.toDF("a", "band", "ca", "a_bands", *[f"a_{c}" for c in names])
     y = rows.toDF("b", "band", "cb", "b_bands", *[f"b_{c}" for c in names])
-    across = x.join(y, "band").where((F.col("ca") < F.col("cb")) & condition & (
+    across = x.join(y, "band").where((F.col("ca") < F.col("cb")) & (far <= most) & (
         F.element_at(F.array_intersect("a_bands", "b_bands"), 1) == F.col("band")))
-    more = stored(accept(across.select("a", "b")))
-    return parts if more.isEmpty() else components(links.union(more))
+    links = stored(accept(across.select("a", "b")))
+    parts = parts if links.isEmpty() else _merged(parts, links)
+    return parts.select("node", "component")

@@ -94,18 +94,11 @@ def _describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
         run, "id long, n long, h1 long, h2 long, bands array<long>, bits array<long>")
 
 
-def _likely(least: float):
-    """Condition on two nodes' ``bits``: estimated similarity of at least ``least``.
-
-    Bits of equal coordinates agree, others do so half the time.
-    """
-    most = int((1 - least) / 2 * BITS)
-
-    def condition(one, two) -> Column:
-        gap = lambda i: F.bit_count(one("bits")[i].bitwiseXOR(two("bits")[i]))
-        return sum((gap(i) for i in range(1, BITS // 64)), gap(0)) <= most
-
-    return condition
+def _differing(one, two) -> Column:
+    """How many of two nodes' ``bits`` differ: bits of equal coordinates agree, others do so
+    half the time."""
+    gap = lambda i: F.bit_count(one("bits")[i].bitwiseXOR(two("bits")[i]))
+    return sum((gap(i) for i in range(1, BITS // 64)), gap(0))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -132,7 +125,9 @@ def near_duplicates(
     percent: int = 80,
 ) -> DataFrame:
     """Per row: id, set size, component id, and whether the row is its component's first."""
-    described = stored(_describe(docs, key, text, words))
+    # Rows without a set have keys of their own, or they would all meet in one partition.
+    described = stored(_describe(docs, key, text, words).withColumn(
+        "h1", F.when(F.col("n") > 0, F.col("h1")).otherwise(F.xxhash64("id"))))
     filled = described.where("n > 0 and id is not null")
     sets = filled.groupBy("h1", "h2").agg(F.min("id").alias("node"))
     nodes = stored(
@@ -146,8 +141,9 @@ def near_duplicates(
         .join(members.select("node").distinct(), "node", "left_semi"))
 
     parts = link_components(
-        members, nodes.select("node", "bits"), _likely(percent / 100 - MARGIN),
-        lambda pairs: _verified(pairs, texts, words, percent), rounds=3)
+        members, nodes.select("node", "bits"), _differing,
+        int((1 - percent / 100 + MARGIN) / 2 * BITS),
+        lambda pairs: _verified(pairs, texts, words, percent))
     whole = sets.join(parts, "node", "left").select(
         "h1", "h2", F.coalesce("component", "node").alias("component"))
     return described.join(
