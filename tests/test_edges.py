@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textwarden.functions import fixed_values as fixed
 from textwarden.functions.objects import extract_json, read_verdict
 from textwarden.functions.regex import java_pattern
-from textwarden.operators.compose import Chain, replace_messages_on_block, replace_on_block, routed
+from textwarden.operators.compose import Chain, replace_messages_on_block, replace_on_block, routed, split
 from textwarden.operators.judge import parse_verdict, verdict_threshold
 from textwarden.operators.lexicon import Lexicon, keyword_lexicon
 from textwarden.operators.validators import input_length, output_length
@@ -124,6 +124,14 @@ def test_routed_asks_once(spark):
     assert accepted.where("X_result = 'block'").count() == 0 == rejected.where("X_result <> 'block'").count()
 
 
+def test_split_is_one_computation(spark):
+    """Both halves read the same rows, also where a verdict differs each time."""
+    df = spark.range(2000).withColumn("X_result", F.when(F.rand() < 0.5, "block").otherwise("allow"))
+    accepted, rejected = split(df, ["X"])
+    assert sorted(r["id"] for r in accepted.union(rejected).collect()) == list(range(2000))
+    assert accepted.where("X_result = 'block'").count() == 0 == rejected.where("X_result <> 'block'").count()
+
+
 def test_replaced_messages_keep_the_first(spark):
     kind = "array<struct<role: string, content: string>>"
     talk = [("user", "hi"), ("assistant", "x"), ("user", "and?"), ("assistant", "y")]
