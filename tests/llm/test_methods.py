@@ -480,6 +480,25 @@ def test_lines_recall_against_edit_similarity(spark):
     assert gone <= want and len(gone) >= 0.95 * len(want) >= 100
 
 
+def test_the_count_bound_loses_no_pair():
+    rng = np.random.default_rng(6)
+    letters = list("abcd ")
+    rows = []
+    for size in rng.integers(1, 40, 300):
+        one = "".join(rng.choice(letters, size))
+        two = list(one)
+        for _ in range(rng.integers(0, 12)):
+            at = int(rng.integers(0, len(two) + 1))
+            two[at:at + int(rng.integers(0, 2))] = rng.choice(letters, int(rng.integers(0, 2))).tolist()
+        rows.append((len(rows), -1, one, "".join(two)))
+    frame = pd.DataFrame(rows, columns=["a", "b", "la", "lb"])
+    close = {r[0] for r in duckdb.sql(
+        "select a from frame where levenshtein(la, lb) <= floor(0.2 * greatest(length(la), length(lb)) + 1e-9)"
+    ).fetchall()}
+    got = set(pd.concat(lines._possible(0.8)(iter([frame])))["a"])
+    assert close <= got and len(got) < len(rows) and len(close) > 30
+
+
 def _recall(change):
     """Share of lines that meet and pass the estimate with a changed copy of themselves."""
     found = duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
