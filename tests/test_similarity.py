@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from textwarden.operators.compose import Chain
 from textwarden.operators.similarity import (
     SemanticAllowBlock,
     SemanticTopic,
@@ -8,6 +10,7 @@ from textwarden.operators.similarity import (
     embed_column,
     embed_topics,
 )
+from textwarden.operators.stage import Verdict, custom_stage
 from textwarden.plans.standins import letter_embedder
 
 VECTORS = [[1.0, 0.0], [0.0, 1.0], [0.6, 0.8], [0.0, 0.0], None, [1.0, 2.0, 3.0], [None, 1.0]]
@@ -97,3 +100,61 @@ def test_embed_column(spark, share):
     assert [r.embedding and r.embedding[0] for r in rows] == [2.0, 0.0, 2.0, None, 0.0, None]
     assert [r.embedding_error for r in rows] == [None] * 5 + ["no vector"]
     assert embed_topics([], embed) == []
+
+
+def matrix_embedder():
+    """An embedder that answers with one matrix and fails on some texts."""
+
+    def embed(texts):
+        if any("boom" in t for t in texts):
+            raise RuntimeError("no embedder")
+        return np.array([[t.count("a"), t.count("b")] for t in texts], dtype=np.float64)
+
+    return embed
+
+
+def test_text_embedded_when_the_check_runs(spark, run_text):
+    stage = SemanticTopic(["a", "b"], 0.9, embed=matrix_embedder(), batch_size=1)
+    rows = run_text(stage, ["aaa", "ab", "boom", None, "", "aaa"])
+    assert [r["SemanticSimilarity_result"] for r in rows] == [
+        "allow", "block", "warn", "warn", "block", "allow"]
+    assert rows[2]["SemanticSimilarity_reason"] == "Semantic similarity check failed: no embedder"
+    assert rows[0]["SemanticSimilarity_metadata"]["matched_topic"] == "a"
+    assert not [c for c in rows[0] if c.startswith("__")]
+
+
+def test_embedding_sees_the_text_the_stages_before_left(spark, run_text):
+    cut = custom_stage("Cut", lambda text: Verdict(
+        F.when(text.startswith("x"), "block").otherwise("modify"), F.lit("cut"), None,
+        F.substring(text, 1, 1)))
+    chain = Chain([cut, SemanticTopic(["a"], 0.9, embed=matrix_embedder())])
+    rows = run_text(chain, ["abbbb", "xa", "baaaa"])
+    assert [r["SemanticSimilarity_result"] for r in rows] == ["allow", None, "block"]
+
+
+@pytest.mark.parametrize("share", ["batch", "table"])
+def test_embedders_of_single_vectors_and_bad_ones(run_text, share):
+    def embed(texts):
+        return [ValueError("odd") if t == "odd" else "x" if t == "word" else [1.0, float(len(t))]
+                for t in texts]
+
+    stage = SemanticTopic([Topic("t", [1.0, 2.0])], 0.9, embed=embed, share=share)
+    rows = run_text(stage, ["ok", "odd", "word", "ok"])
+    assert [r["SemanticSimilarity_result"] for r in rows] == ["allow", "warn", "warn", "allow"]
+    assert rows[1]["SemanticSimilarity_metadata"]["error"] == "odd"
+
+
+def test_topics_that_cannot_be_embedded_warn(run_text):
+    stages = SemanticTopic(["boom"], 0.9, embed=matrix_embedder()), SemanticAllowBlock(
+        ["a"], ["boom"], 0.9, 0.9, embed=matrix_embedder())
+    (first,), (second,) = (run_text(s, ["a"]) for s in stages)
+    assert first["SemanticSimilarity_reason"] == "Semantic similarity check failed: no embedder"
+    # Blocked topics that cannot be scored block nothing.
+    assert second["MultiModalSemantic_result"] == "allow"
+    with pytest.raises(ValueError):
+        run_text(SemanticTopic(["a"], 0.9), ["a"])
+
+
+def test_too_few_vectors_are_an_error_of_the_batch(run_text):
+    stage = SemanticTopic([Topic("t", [1.0])], 0.9, embed=lambda texts: [[1.0]] * (len(texts) + 1))
+    assert run_text(stage, ["a"])[0]["SemanticSimilarity_metadata"]["error"] == "2 answers for 1 texts"

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +52,60 @@ def _batched(fn: Callable[[list[str]], Sequence], schema: T.StructType, batch_si
     return F.pandas_udf(run, schema).asNondeterministic()
 
 
+def _vector_rows(answers: Sequence, n: int) -> tuple[pa.Array, list[str | None]]:
+    """Vectors of ``n`` texts as one Arrow list array, and what went wrong instead.
+
+    A matrix becomes the array's values as it is; no row turns into a Python list.
+    """
+    if len(answers) != n:
+        raise ValueError(f"{len(answers)} answers for {n} texts")
+    if isinstance(answers, np.ndarray) and answers.ndim == 2:
+        matrix = np.ascontiguousarray(answers, dtype=np.float32)
+        ends = np.arange(n + 1, dtype=np.int32) * matrix.shape[1]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel())), [None] * n
+    errors: list[str | None] = [None] * n
+    rows: list[np.ndarray] = []
+    for i, answer in enumerate(answers):
+        row = np.zeros(0, np.float32)
+        if isinstance(answer, Exception):
+            errors[i] = str(answer)
+        else:
+            try:
+                row = np.asarray(answer, dtype=np.float32).reshape(-1)
+            except (TypeError, ValueError) as error:
+                errors[i] = str(error)
+        rows.append(row)
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    missing = np.array([e is not None for e in errors] + [False])
+    values = np.concatenate(rows) if rows else np.zeros(0, np.float32)
+    return pa.ListArray.from_arrays(pa.array(ends, mask=missing), pa.array(values)), errors
+
+
+def _batched_vectors(fn: Callable[[list[str]], Sequence], schema: T.StructType, batch_size: int):
+    """As ``_batched``, for functions that answer with one vector per text."""
+    kind = pa.list_(pa.float32())
+
+    def call(texts: list[str]) -> tuple[pa.Array, list[str | None]]:
+        try:
+            return _vector_rows(fn(texts), len(texts))
+        except Exception as error:  # the user's function: any failure is an answer
+            return pa.nulls(len(texts), kind), [str(error)] * len(texts)
+
+    @F.arrow_udf(schema)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            coded = texts.dictionary_encode()
+            wanted = coded.dictionary.to_pylist()
+            parts = [call(wanted[at:at + batch_size]) for at in range(0, len(wanted), batch_size)]
+            vectors = pa.concat_arrays([v for v, _ in parts]) if parts else pa.nulls(0, kind)
+            errors = pa.array([e for _, some in parts for e in some], pa.string())
+            yield pa.StructArray.from_arrays(
+                [vectors.take(coded.indices), errors.take(coded.indices)],
+                names=["value", "error"])
+
+    return run.asNondeterministic()
+
+
 def call_per_text(
     df: DataFrame,
     text: Column,
@@ -63,6 +119,7 @@ def call_per_text(
     store: bool = False,
     replies: ReplyStore | None = None,
     settings: str = "",
+    vectors: bool = False,
 ) -> DataFrame:
     """Add ``out_col struct<value, error>``; NULL text is not sent and gets NULL.
 
@@ -72,12 +129,13 @@ def call_per_text(
     ``concurrency`` is the number of tasks calling the function at a time.  ``store``
     writes the answers to the shared scratch folder, so that several uses of the result
     see the same ones; ``replies`` keeps them in a lasting store, under the text and
-    ``settings``, and asks only what is not there yet.
+    ``settings``, and asks only what is not there yet.  ``vectors`` says that ``fn`` answers
+    with vectors, one array each or a matrix: they go back as Arrow arrays.
     """
     schema = T.StructType(
         [T.StructField("value", value_type), T.StructField("error", T.StringType())]
     )
-    call = _batched(fn, schema, batch_size)
+    call = (_batched_vectors if vectors else _batched)(fn, schema, batch_size)
     if share == "batch":
         if store or replies is not None:
             raise ValueError('storing answers needs share="table"')

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_folder
 from .stage import ALLOW, BLOCK, MODIFY, result_columns
 
 COUNTS = ("total_checks", "blocked", "modified", "allowed")
@@ -116,3 +117,60 @@ def compare_methods(
         F.count("*").alias("total"),
         *[value.alias(f"{label}_accuracy") for label, value in accuracies.items()],
     ).withColumn("difference", F.col(f"{second}_accuracy") - F.col(f"{first}_accuracy"))
+
+
+def threshold_curve(df: DataFrame, score: Column, expected: Column) -> DataFrame:
+    """What each threshold would do: one row per distinct score, taken as the threshold.
+
+    A row is allowed when its score reaches the threshold and is right when it is allowed
+    exactly if expected.  ``allowed`` rows are ``hits`` (expected) or not; ``missed`` rows are
+    expected but below.  Rows without an expectation are left out; rows without a score (NULL
+    or NaN) are allowed by no threshold.
+
+    Rows are counted per score before anything else, so a score many rows share is one row.
+    The counts are dealt out by ranges of the score and written once; a range then needs only
+    the sums of those above it, which are as few as there are ranges.
+    """
+    truth = expected.cast("boolean")
+    value = score.cast("double")
+    counts = df.select(
+        # -0.0 and 0.0 are one threshold.
+        F.when(~F.isnan(value), value + F.lit(0.0)).alias("threshold"), truth.alias("expected"),
+    ).where("expected is not null").groupBy("threshold").agg(
+        F.count_if("expected").alias("yes"), F.count_if(~F.col("expected")).alias("no"))
+    folder = scratch_folder(df.sparkSession)
+    counts.repartitionByRange("threshold").withColumn(
+        "part", F.spark_partition_id()).write.parquet(folder)
+    counts = df.sparkSession.read.parquet(folder)
+    scored = counts.where("threshold is not null")
+    sums = scored.groupBy("part").agg(
+        F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    # As many rows as partitions: one task, and small enough to send to all.
+    offsets = sums.select(
+        "part", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above")
+                  for c in ("yes", "no")])
+    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_all") for c in ("yes", "no")])
+    falling = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    curve = scored.join(F.broadcast(offsets), "part").join(F.broadcast(totals)).select(
+        "threshold", "yes_all", "no_all",
+        *[(F.sum(c).over(falling) + F.col(f"{c}_above")).alias(c) for c in ("yes", "no")])
+    right = F.col("yes") + F.col("no_all") - F.col("no")
+    return curve.select(
+        "threshold", (F.col("yes") + F.col("no")).alias("allowed"), F.col("yes").alias("hits"),
+        (F.col("yes_all") - F.col("yes")).alias("missed"), right.alias("correct"),
+        (F.col("yes_all") + F.col("no_all")).alias("total"),
+        (right / (F.col("yes_all") + F.col("no_all"))).alias("accuracy"),
+        (F.col("yes") / (F.col("yes") + F.col("no"))).alias("precision"),
+        F.when(F.col("yes_all") > 0, F.col("yes") / F.col("yes_all")).alias("recall"),
+    )
+
+
+def best_threshold(curve: DataFrame) -> DataFrame:
+    """The row of a ``threshold_curve`` with most rows right; ties go to the highest
+    threshold, which lets least through.  No row for an empty curve."""
+    first = ["correct", "threshold"]
+    columns = first + [c for c in curve.columns if c not in first]
+    return curve.agg(F.max(F.struct(*columns)).alias("best")).where("best is not null").select(
+        *[F.col("best")[c].alias(c) for c in curve.columns])

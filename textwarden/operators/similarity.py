@@ -37,6 +37,10 @@ _SCORE = T.StructType(
 )
 
 
+_VECTOR = T.ArrayType(T.FloatType())
+Embedder = Callable[[list[str]], Sequence]
+
+
 @dataclass(frozen=True)
 class Topic:
     name: str
@@ -56,14 +60,7 @@ def embed_column(
     model it loads on first use is loaded once per worker.
     """
     answer = f"__{out_col}_answer"
-
-    def vectors(texts: list[str]) -> list:
-        return [v if isinstance(v, Exception) else np.asarray(v, dtype=np.float32).tolist()
-                for v in embed(texts)]
-
-    df = call_per_text(
-        df, F.col(text_col), vectors, T.ArrayType(T.FloatType()), answer, **options
-    )
+    df = call_per_text(df, F.col(text_col), embed, _VECTOR, answer, vectors=True, **options)
     got = F.col(answer)
     return df.withColumns({out_col: got["value"], f"{out_col}_error": got["error"]}).drop(answer)
 
@@ -182,11 +179,13 @@ def score_topics(
     aggregation: str = "max",
     keep_all: bool = True,
     group_bytes: int = TOPIC_GROUP_BYTES,
+    failure: Column | None = None,
 ) -> DataFrame:
     """Add ``struct<score, topic, all, error>`` of an embedding against all topics.
 
-    A NULL embedding gets a NULL struct.  With ``max`` the first topic of the highest
-    similarity is named.
+    A NULL embedding gets no score but an error: ``failure``, what kept the row from being
+    embedded, or that there is none.  With ``max`` the first topic of the highest similarity
+    is named.
     """
     running: Column | None = None
     count, groups = 0, 0
@@ -231,7 +230,8 @@ def score_topics(
             F.lit(None).cast("double").alias("score"),
             F.lit(None).cast("string").alias("topic"),
             F.lit(None).cast("array<double>").alias("all"),
-            F.lit(problem).alias("error"),
+            (F.lit(problem) if failure is None else F.coalesce(failure, F.lit(problem)))
+            .alias("error"),
         )
         df = df.withColumn(out_col, empty)
     else:
@@ -243,7 +243,8 @@ def score_topics(
                 (F.lit(None).cast("string") if mean else running["topic"]).alias("topic"),
                 running["all"].alias("all"),
                 F.coalesce(
-                    running["error"], F.when(embedding.isNull(), "no embedding")
+                    running["error"], F.lit(None).cast("string") if failure is None else failure,
+                    F.when(embedding.isNull(), "no embedding")
                 ).alias("error"),
             ),
         )
@@ -254,34 +255,80 @@ def _three(score: Column) -> Column:
     return F.format_string("%.3f", score)
 
 
-class SemanticTopic(Stage):
+class _SemanticStage(Stage):
+    """What both checks share: where a row's embedding and the topics' come from."""
+
+    def __init__(self, name: str, embedding_col: str, embed: Embedder | None, options: dict):
+        super().__init__(name)
+        self.embedding_col, self.embed = embedding_col, embed
+        self.options = {"share": "batch", **options}
+
+    def _embedded(
+        self, df: DataFrame, text_col: str, active: Column | None
+    ) -> tuple[DataFrame, Column, Column | None, list[str]]:
+        """The rows with their embeddings, what went wrong, and columns to drop afterwards.
+
+        With ``embed``, the text is embedded as the stages before left it, and only where
+        they did not block.
+        """
+        if self.embed is None:
+            vector = F.col(self.embedding_col)
+            return df, vector if active is None else F.when(active, vector), None, []
+        answer, text = f"__{self.name}_embedded", F.col(text_col)
+        df = call_per_text(
+            df, text if active is None else F.when(active, text), self.embed, _VECTOR, answer,
+            vectors=True, **self.options)
+        return df, F.col(answer)["value"], F.col(answer)["error"], [answer]
+
+    def _topics(
+        self, topics: DataFrame | Sequence[Topic | str], failure: Column | None
+    ) -> tuple[DataFrame | Sequence[Topic], Column | None]:
+        """Topics, described ones embedded; if that fails, every row has the failure."""
+        if isinstance(topics, DataFrame) or not any(isinstance(t, str) for t in topics):
+            return topics, failure
+        if self.embed is None:
+            raise ValueError("topics given as descriptions need embed")
+        try:
+            return embed_topics(topics, self.embed), failure
+        except Exception as error:  # the user's function; checks fail open
+            return [], F.lit(str(error))
+
+
+class SemanticTopic(_SemanticStage):
     """Allow rows whose embedding is similar enough to the topics, block the others.
 
-    Anything that prevents a score is a warning: checks fail open.
+    Rows bring their embedding in ``embedding_col``, or ``embed`` makes it from the text when
+    the check runs; then topics may be descriptions.  ``embed_options`` go to
+    ``call_per_text``: by default each Arrow batch embeds its distinct texts, without a
+    shuffle.  Anything that prevents a score is a warning: checks fail open.
     """
 
     def __init__(
         self,
-        topics: DataFrame | Sequence[Topic],
+        topics: DataFrame | Sequence[Topic | str],
         similarity_threshold: float = 0.75,
         aggregation: str = "max",
         embedding_col: str = "embedding",
         keep_all: bool = True,
         name: str = "SemanticSimilarity",
         group_bytes: int = TOPIC_GROUP_BYTES,
+        embed: Embedder | None = None,
+        **embed_options,
     ):
-        super().__init__(name)
+        super().__init__(name, embedding_col, embed, embed_options)
         self.topics, self.threshold, self.aggregation = topics, similarity_threshold, aggregation
-        self.embedding_col, self.keep_all, self.group_bytes = embedding_col, keep_all, group_bytes
+        self.keep_all, self.group_bytes = keep_all, group_bytes
 
     def apply(self, df: DataFrame, text_col: str, active: Column | None = None) -> DataFrame:
         found = f"__{self.name}_score"
-        embedding = F.col(self.embedding_col)
+        df, embedding, failure, temporary = self._embedded(df, text_col, active)
+        topics, failure = self._topics(self.topics, failure)
         df = score_topics(
-            df, embedding if active is None else F.when(active, embedding), self.topics, found,
-            aggregation=self.aggregation, keep_all=self.keep_all, group_bytes=self.group_bytes,
+            df, embedding, topics, found, aggregation=self.aggregation, keep_all=self.keep_all,
+            group_bytes=self.group_bytes, failure=failure,
         )
-        return add_verdict(df, self.name, text_col, active, self._decide(F.col(found))).drop(found)
+        return add_verdict(df, self.name, text_col, active, self._decide(F.col(found))).drop(
+            found, *temporary)
 
     def _decide(self, found: Column) -> Verdict:
         return _topic_verdict(found, self.threshold)
@@ -307,38 +354,41 @@ def _topic_verdict(found: Column, threshold: float) -> Verdict:
     )
 
 
-class SemanticAllowBlock(Stage):
+class SemanticAllowBlock(_SemanticStage):
     """Block rows similar to a blocked topic; otherwise the allowed topics decide.
 
-    Both topic sets are scored in the same pass.  A row whose blocked topics cannot be
-    scored is not blocked for it.
+    Both topic sets are scored in the same pass, with one embedding of a text.  A row whose
+    blocked topics cannot be scored is not blocked for it.
     """
 
     def __init__(
         self,
-        allowed_topics: DataFrame | Sequence[Topic],
-        blocked_topics: DataFrame | Sequence[Topic] | None = None,
+        allowed_topics: DataFrame | Sequence[Topic | str],
+        blocked_topics: DataFrame | Sequence[Topic | str] | None = None,
         allow_threshold: float = 0.70,
         block_threshold: float = 0.75,
         embedding_col: str = "embedding",
         keep_all: bool = True,
         name: str = "MultiModalSemantic",
+        embed: Embedder | None = None,
+        **embed_options,
     ):
-        super().__init__(name)
+        super().__init__(name, embedding_col, embed, embed_options)
         self.allowed, self.blocked = allowed_topics, blocked_topics
         self.allow_threshold, self.block_threshold = allow_threshold, block_threshold
-        self.embedding_col, self.keep_all = embedding_col, keep_all
+        self.keep_all = keep_all
 
     def apply(self, df: DataFrame, text_col: str, active: Column | None = None) -> DataFrame:
         near, far = f"__{self.name}_allow", f"__{self.name}_block"
-        embedding = F.col(self.embedding_col)
-        if active is not None:
-            embedding = F.when(active, embedding)
-        df = score_topics(df, embedding, self.allowed, near, keep_all=self.keep_all)
+        df, embedding, failure, temporary = self._embedded(df, text_col, active)
+        topics, problem = self._topics(self.allowed, failure)
+        df = score_topics(
+            df, embedding, topics, near, keep_all=self.keep_all, failure=problem)
         allow = _topic_verdict(F.col(near), self.allow_threshold)
         if self.blocked is None or (isinstance(self.blocked, Sequence) and not self.blocked):
-            return add_verdict(df, self.name, text_col, active, allow).drop(near)
-        df = score_topics(df, embedding, self.blocked, far, keep_all=self.keep_all)
+            return add_verdict(df, self.name, text_col, active, allow).drop(near, *temporary)
+        topics, problem = self._topics(self.blocked, failure)
+        df = score_topics(df, embedding, topics, far, keep_all=self.keep_all, failure=problem)
         block = _topic_verdict(F.col(far), self.block_threshold)
         score = F.col(far)["score"]
         hit = F.coalesce(F.col(far)["error"].isNull() & (score >= self.block_threshold), F.lit(False))
@@ -350,4 +400,4 @@ class SemanticAllowBlock(Stage):
             F.when(hit, said).otherwise(allow.reason),
             F.when(hit, block.metadata).otherwise(allow.metadata),
         )
-        return add_verdict(df, self.name, text_col, active, verdict).drop(near, far)
+        return add_verdict(df, self.name, text_col, active, verdict).drop(near, far, *temporary)

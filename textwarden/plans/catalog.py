@@ -50,6 +50,9 @@ QUERIES: dict[str, Query] = {}
 # Limits low enough to trigger on the given events.
 PER_MINUTE, PER_HOUR = 1, 2
 TOPIC_THRESHOLD, BLOCK_THRESHOLD, MEAN_THRESHOLD = 0.213, 0.261, 0.0137
+# Descriptions for the letter-counting embedder, and thresholds that divide the documents.
+TEXT_TOPICS = ["a tour of the outer ports", "interest rates and tariffs"]
+TEXT_TOPIC_THRESHOLD, TEXT_BLOCK_THRESHOLD = 0.93, 0.95
 
 
 def query(name: str | Query):
@@ -458,6 +461,43 @@ def semantic_allow_block(spark, folder):
     return _verdict(judged, "MultiModalSemantic", ["vec_id"], **_TOPIC_FIELDS).drop("reason")
 
 
+@query
+def semantic_topic_text(spark, folder):
+    """Texts embedded inside a chain, after personal data was redacted."""
+    stages = Chain([va.pii_screen(), SemanticTopic(
+        TEXT_TOPICS, TEXT_TOPIC_THRESHOLD, embed=letter_embedder)])
+    return _verdict(stages(_documents(spark, folder)), "SemanticSimilarity", ["doc_id"],
+                    **_TOPIC_FIELDS)
+
+
+@query
+def semantic_allow_block_text(spark, folder):
+    """Allowed and blocked topics as descriptions; rows blocked before are not embedded."""
+    stages = Chain([va.keyword_safety(), SemanticAllowBlock(
+        TEXT_TOPICS[:1], TEXT_TOPICS[1:], TEXT_TOPIC_THRESHOLD, TEXT_BLOCK_THRESHOLD,
+        embed=letter_embedder)])
+    return _verdict(stages(_documents(spark, folder)), "MultiModalSemantic", ["doc_id"],
+                    **_TOPIC_FIELDS)
+
+
+def _curve(spark: SparkSession, folder: str) -> DataFrame:
+    """How well likeness to the first five labels' centroids tells these labels."""
+    topics = _centroids(spark, folder).where(F.col("topic_idx") < 5)
+    scored = SemanticTopic(topics, TOPIC_THRESHOLD)(_vectors(spark, folder))
+    score = F.round(F.col("SemanticSimilarity_metadata.similarity_score"), 3)
+    return mt.threshold_curve(scored, score, F.col("label") < 5)
+
+
+@query
+def threshold_curve(spark, folder):
+    return _rounded(_curve(spark, folder))
+
+
+@query
+def best_threshold(spark, folder):
+    return _rounded(mt.best_threshold(_curve(spark, folder)))
+
+
 # ---- model checks --------------------------------------------------------
 
 @query

@@ -202,6 +202,36 @@ def _semantic(aggregate: str, threshold: float, topic: str, extra: str) -> str:
     FROM a"""
 
 
+def _letters(text: str) -> str:
+    counts = ", ".join(
+        f"CAST(length(lower({text})) - length(replace(lower({text}), '{c}', '')) AS DOUBLE)"
+        for c in LETTERS)
+    return f"[{counts}]"
+
+
+def _likeness(text: str, topic: str) -> str:
+    """Cosine of two texts' letter counts, 0 where a text has none of the letters."""
+    a, b = _letters(text), _letters(_q(topic))
+    return (f"CASE WHEN list_sum({a}) = 0 THEN 0.0 ELSE list_cosine_similarity({a}, {b}) END")
+
+
+# Topics and thresholds of the text queries.
+_TOPIC_A, _TOPIC_B = "a tour of the outer ports", "interest rates and tariffs"
+
+_CURVE = f"""
+    WITH {_CENTROIDS},
+    a AS (SELECT vec_id, any_value(label) < 5 AS yes, round(max(s), 3) AS score
+          FROM sims WHERE t < 5 GROUP BY vec_id),
+    per AS (SELECT score AS threshold, count(*) FILTER (WHERE yes) AS y,
+              count(*) FILTER (WHERE NOT yes) AS n FROM a GROUP BY score),
+    c AS (SELECT threshold, sum(y) OVER w AS hits, sum(n) OVER w AS wrong, sum(y) OVER () AS y_all,
+            sum(n) OVER () AS n_all FROM per WINDOW w AS (ORDER BY threshold DESC))
+    SELECT threshold, hits + wrong AS allowed, hits, y_all - hits AS missed,
+      hits + n_all - wrong AS correct, y_all + n_all AS total,
+      round((hits + n_all - wrong) / (y_all + n_all), 6) AS accuracy,
+      round(hits / (hits + wrong), 6) AS precision, round(hits / y_all, 6) AS recall FROM c"""
+
+
 # ---- model checks --------------------------------------------------------
 
 # Which of the stand-in's replies a text draws: 1 hate, 2 harm, 3 okay, 4 words, 0 JSON.
@@ -480,6 +510,28 @@ ORACLES: dict[str, str] = {
       round(CASE WHEN far >= 0.261 THEN far ELSE near END, 6) AS score,
       CASE WHEN far >= 0.261 THEN 'label ' || tf WHEN near >= 0.213 THEN 'label ' || tn END AS topic,
       CASE WHEN far >= 0.261 THEN 0.261 ELSE 0.213 END AS threshold FROM a""",
+    "semantic_topic_text": f"""
+    WITH f AS ({_found("documents")}), {_redaction_steps("f")},
+    s AS (SELECT doc_id, {_likeness("clean", _TOPIC_A)} AS a, {_likeness("clean", _TOPIC_B)} AS b FROM r5),
+    m AS (SELECT doc_id, greatest(a, b) AS s, CASE WHEN a >= b THEN {_q(_TOPIC_A)} ELSE {_q(_TOPIC_B)} END AS t
+          FROM s)
+    SELECT doc_id, CASE WHEN s >= 0.93 THEN 'allow' ELSE 'block' END AS result,
+      CASE WHEN s >= 0.93 THEN 'Topic match (similarity: ' || format('{{:.3f}}', s) || ')'
+        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', s) || ' < 0.93)' END AS reason,
+      round(s, 6) AS score, CASE WHEN s >= 0.93 THEN t END AS topic, 0.93 AS threshold FROM m""",
+    "semantic_allow_block_text": f"""
+    WITH s AS (SELECT doc_id, len({_violations("text")}) = 0 AS on_,
+        {_likeness("text", _TOPIC_A)} AS a, {_likeness("text", _TOPIC_B)} AS b FROM documents)
+    SELECT doc_id, CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 OR a < 0.93 THEN 'block' ELSE 'allow' END AS result,
+      CASE WHEN NOT on_ THEN NULL
+        WHEN b >= 0.95 THEN 'Content matches blocked topic (similarity: ' || format('{{:.3f}}', b) || ')'
+        WHEN a >= 0.93 THEN 'Topic match (similarity: ' || format('{{:.3f}}', a) || ')'
+        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', a) || ' < 0.93)' END AS reason,
+      CASE WHEN on_ THEN round(CASE WHEN b >= 0.95 THEN b ELSE a END, 6) END AS score,
+      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 THEN {_q(_TOPIC_B)} WHEN a >= 0.93 THEN {_q(_TOPIC_A)} END AS topic,
+      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 THEN 0.95 ELSE 0.93 END AS threshold FROM s""",
+    "threshold_curve": _CURVE,
+    "best_threshold": f"SELECT * FROM ({_CURVE}) ORDER BY correct DESC, threshold DESC LIMIT 1",
     "model_judge": _judged(0.7, ", c AS confidence"),
     "reply_store": f"SELECT *, result AS result_again FROM ({_judged(0.7, ', c AS confidence')})",
     "parse_verdict": f"WITH {_LABEL_VERDICTS} SELECT doc_id, is_safe, reason, confidence FROM parsed",
