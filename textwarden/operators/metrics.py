@@ -13,7 +13,7 @@ from .stage import ALLOW, BLOCK, MODIFY, result_columns
 COUNTS = ("total_checks", "blocked", "modified", "allowed")
 
 
-def _counts(result: Column) -> list[Column]:
+def counts(result: Column) -> list[Column]:
     """Rows the stage reached; warn counts as allowed."""
     return [
         F.count(result).alias("total_checks"),
@@ -23,7 +23,7 @@ def _counts(result: Column) -> list[Column]:
     ]
 
 
-def _with_rates(df: DataFrame) -> DataFrame:
+def with_rates(df: DataFrame) -> DataFrame:
     total = F.greatest(F.col("total_checks"), F.lit(1))
     return df.withColumns(
         {"block_rate": F.col("blocked") / total, "pass_rate": F.col("allowed") / total}
@@ -32,7 +32,7 @@ def _with_rates(df: DataFrame) -> DataFrame:
 
 def stage_metrics(df: DataFrame, name: str) -> DataFrame:
     """One row of counts and rates for one stage."""
-    return _with_rates(df.agg(*_counts(F.col(result_columns(name)[0]))))
+    return with_rates(df.agg(*counts(F.col(result_columns(name)[0]))))
 
 
 def _long(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -61,7 +61,7 @@ def chain_metrics(df: DataFrame, names: Sequence[str], totals: bool = True) -> D
         *[
             count.alias(f"{position}_{label}")
             for position, name in enumerate(names)
-            for label, count in zip(COUNTS, _counts(F.col(result_columns(name)[0])))
+            for label, count in zip(COUNTS, counts(F.col(result_columns(name)[0])))
         ]
     )
     rows = [
@@ -76,7 +76,7 @@ def chain_metrics(df: DataFrame, names: Sequence[str], totals: bool = True) -> D
         ]
         rows.append(F.struct(F.lit("all").alias("stage"),
                              *[value.alias(label) for value, label in zip(sums, COUNTS)]))
-    return _with_rates(wide.select(F.inline(F.array(*rows))))
+    return with_rates(wide.select(F.inline(F.array(*rows))))
 
 
 def trigger_log(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -133,16 +133,16 @@ def threshold_curve(df: DataFrame, score: Column, expected: Column) -> DataFrame
     """
     truth = expected.cast("boolean")
     value = score.cast("double")
-    counts = df.select(
+    per_score = df.select(
         # -0.0 and 0.0 are one threshold.
         F.when(~F.isnan(value), value + F.lit(0.0)).alias("threshold"), truth.alias("expected"),
     ).where("expected is not null").groupBy("threshold").agg(
         F.count_if("expected").alias("yes"), F.count_if(~F.col("expected")).alias("no"))
     folder = scratch_folder(df.sparkSession)
-    counts.repartitionByRange("threshold").withColumn(
+    per_score.repartitionByRange("threshold").withColumn(
         "part", F.spark_partition_id()).write.parquet(folder)
-    counts = df.sparkSession.read.parquet(folder)
-    scored = counts.where("threshold is not null")
+    per_score = df.sparkSession.read.parquet(folder)
+    scored = per_score.where("threshold is not null")
     sums = scored.groupBy("part").agg(
         F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
@@ -150,7 +150,7 @@ def threshold_curve(df: DataFrame, score: Column, expected: Column) -> DataFrame
     offsets = sums.select(
         "part", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above")
                   for c in ("yes", "no")])
-    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_all") for c in ("yes", "no")])
+    totals = per_score.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_all") for c in ("yes", "no")])
     falling = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     curve = scored.join(F.broadcast(offsets), "part").join(F.broadcast(totals)).select(

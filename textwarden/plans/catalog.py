@@ -41,6 +41,7 @@ from ..sources import content as ct
 from ..sources.tables import read_table, request_log
 from ..streaming.ratelimit import rate_limit_stream
 from ..streaming.runs import read_stream, run_available
+from ..streaming.triggers import read_counts, read_triggers, trigger_sink
 from .presets import output_preset, safety_preset
 from .standins import LETTERS, failing_scorer, letter_embedder, word_scorer
 
@@ -853,3 +854,27 @@ def compare_methods(spark, folder):
 def trigger_log(spark, folder):
     docs = mt.trigger_log(_chained(spark, folder), _document_chain().names, ["doc_id"])
     return docs.select("doc_id", "stage", "result", "reason")
+
+
+@query
+def trigger_log_streaming(spark, folder):
+    """The log of the same chain over a stream, through the sink that may be restarted."""
+    path, chained = scratch_folder(spark), _document_chain()
+    for _ in range(2):  # the second run finds nothing left to do
+        trigger_sink(chained(read_stream(spark, folder, "documents")), chained.names, path,
+                     keep=["doc_id"], availableNow=True).awaitTermination()
+    return read_triggers(spark, path).select("doc_id", "stage", "result", "reason")
+
+
+@query
+def windowed_metrics_streaming(spark, folder):
+    """Counts per day and stage of a stream of requests, each of which sends a document."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    requests = read_stream(spark, folder, "events").join(
+        documents, F.col("event_id") % documents.count() == F.col("doc_id")
+    ).select("event_id", "ts", "text")
+    screen, path = Chain([va.input_length(50, 3000), va.keyword_safety()]), scratch_folder(spark)
+    trigger_sink(screen(requests), screen.names, path, keep=["event_id"], time_col="ts",
+                 window="1 day", availableNow=True).awaitTermination()
+    return _rounded(read_counts(spark, path, ["window", "stage"])).withColumn(
+        "window", F.col("window").cast("date"))

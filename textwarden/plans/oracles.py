@@ -332,6 +332,19 @@ _CHAIN_RESULT = f"""
     SELECT doc_id, text, blocked_by, {", ".join(f'"{n}_result"' for n in _CHAIN_NAMES)} FROM chained"""
 
 
+_TRIGGERS = f"""
+    WITH {_CHAIN}
+    SELECT doc_id, 'InputLength' AS stage, "InputLength_result" AS result,
+      CASE "InputLength_result" WHEN 'block' THEN 'Input too short (minimum 50 characters)'
+        ELSE 'Input truncated to 3000 characters' END AS reason
+    FROM chained WHERE "InputLength_result" <> 'allow'
+    UNION ALL SELECT doc_id, 'PIIDetection', "PIIDetection_result",
+      'PII detected and redacted: ' || array_to_string(types, ', ')
+    FROM chained WHERE "PIIDetection_result" <> 'allow'
+    UNION ALL SELECT doc_id, blocked_by, 'block', {_BLOCK_REASON}
+    FROM chained WHERE blocked_by IN ('ContentSafety', 'OutputFormat')"""
+
+
 # ---- the request log -----------------------------------------------------
 
 _LOG = """
@@ -672,15 +685,16 @@ ORACLES: dict[str, str] = {
     SELECT count(*) AS total, round(avg(CAST(k AS INT)), 6) AS keyword_accuracy,
       round(avg(CAST(l AS INT)), 6) AS length_accuracy,
       round(avg(CAST(l AS INT)) - avg(CAST(k AS INT)), 6) AS difference FROM t""",
-    "trigger_log": f"""
-    WITH {_CHAIN}
-    SELECT doc_id, 'InputLength' AS stage, "InputLength_result" AS result,
-      CASE "InputLength_result" WHEN 'block' THEN 'Input too short (minimum 50 characters)'
-        ELSE 'Input truncated to 3000 characters' END AS reason
-    FROM chained WHERE "InputLength_result" <> 'allow'
-    UNION ALL SELECT doc_id, 'PIIDetection', "PIIDetection_result",
-      'PII detected and redacted: ' || array_to_string(types, ', ')
-    FROM chained WHERE "PIIDetection_result" <> 'allow'
-    UNION ALL SELECT doc_id, blocked_by, 'block', {_BLOCK_REASON}
-    FROM chained WHERE blocked_by IN ('ContentSafety', 'OutputFormat')""",
+    "trigger_log": _TRIGGERS,
+    "trigger_log_streaming": _TRIGGERS,
+    "windowed_metrics_streaming": f"""
+    WITH {_LOG},
+    j AS (SELECT CAST(ts AS DATE) AS day, length(text) NOT BETWEEN 50 AND 3000 AS off,
+            len({_violations("text")}) > 0 AS bad FROM log),
+    long AS (SELECT day, 'InputLength' AS stage, off AS hit FROM j
+      UNION ALL SELECT day, 'ContentSafety', bad FROM j WHERE NOT off)
+    SELECT day AS "window", stage, count(*) AS total_checks, count(*) FILTER (WHERE hit) AS blocked,
+      0 AS modified, count(*) FILTER (WHERE NOT hit) AS allowed,
+      round(count(*) FILTER (WHERE hit) / count(*), 6) AS block_rate,
+      round(count(*) FILTER (WHERE NOT hit) / count(*), 6) AS pass_rate FROM long GROUP BY day, stage""",
 }
