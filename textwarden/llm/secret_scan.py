@@ -7,13 +7,16 @@ number of guesses an informed attacker needs: the cheapest segmentation of the v
 dictionary words, dates, repeats, alphabetic or numeric sequences, keyboard walks and
 brute-force spans, found by dynamic programming.  A value of at least ``MIN_LOG_GUESSES``
 decimal digits of guesses becomes a span of kind ``guess`` where no base span is.  The
-dictionary is a list of frequent passwords and words, followed by the ``WORDS`` words that
-most documents hold, of those in at least ``WORD_DOCS``, so that prose is cheap.
+dictionary is a list of frequent passwords and words, followed by the words that most
+documents hold, so that prose is cheap: those in at least ``WORD_DOCS`` documents, and in as
+many more as leaves ``WORDS`` of them at most.
 
-Defined cases: a null text is an empty one; no text, no spans; equal costs prefer the
-segmentation with the longer last part; values longer than ``LONGEST`` characters are
-scored as brute force, which they are in any case too long to be cheaper than; texts are
-read whole; repeated rows give equal results; other columns are untouched.
+A sequence or a keyboard walk is a part of up to ``WALK`` characters; longer ones are several
+parts.  Words, dates and repeats have their own lengths, repeats any.
+
+Defined cases: a null text is an empty one; no text, no spans; values of every length are
+scored alike; texts are read whole; repeated rows give equal results; other columns are
+untouched.
 """
 
 from __future__ import annotations
@@ -21,18 +24,20 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import annotate
+from .common import annotate, stored
 from .spans import digest_columns
 
 KINDS = ("assign", "access", "hex")
 SCHEMA = ("kind array<string>, start array<int>, end array<int>, base array<boolean>, "
           "value array<string>, log_guesses array<double>")
 MIN_LOG_GUESSES = 9.0
-LONGEST = 128
+# Characters of a sequence or keyboard walk that are one part.
+WALK = 64
 # Words taken from the documents: so many at most, each in so many documents at least (a
 # secret in a few documents is no word), of at most so many letters.
 WORDS, WORD_DOCS, WORD_LETTERS = 50_000, 10, 24
@@ -114,94 +119,154 @@ def _is_date(part: str) -> bool:
     return (years(m[1], a) and day_month(b, c)) or (years(m[4], c) and day_month(a, b))
 
 
-def _word_cost(part: str, ranks: dict[str, int]) -> float | None:
-    lower = part.lower()
-    plain = lower.translate(_SUBSTITUTES)
-    best = None
-    for form, swaps in ((lower, 0), (plain, sum(x != y for x, y in zip(lower, plain)))):
-        for text, turned in ((form, 0), (form[::-1], 1)):
-            rank = ranks.get(text)
-            if rank:
-                capitals = sum(c.isupper() for c in part)
-                cased = 0 if not capitals else 1 if capitals in (1, len(part)) else capitals
-                cost = math.log10(rank) + 0.3 * (cased + swaps + turned)
-                best = cost if best is None else min(best, cost)
-    return best
+class Ranks(dict):
+    """Words and their ranks; knows its longest word."""
 
+    def __init__(self, words: dict[str, int]):
+        super().__init__(words)
+        self.longest = max(map(len, words), default=0)
 
-def log_guesses(value: str, ranks: dict[str, int]) -> float:
-    """Decimal logarithm of the guesses needed, by the cheapest segmentation.
 
-    The cost of a segmentation is the sum of its parts' costs plus log10(k!) for the order
-    of its k parts.  best[k][i] is the cheapest sum for the first i characters in k parts.
-    """
-    n = len(value)
-    if not n:
-        return 0.0
+def _word_costs(value: str, ranks: Ranks) -> list[tuple[int, int, float]]:
+    """(start, end, cost) of the parts that are words, turned round or with signs for letters."""
+    lower, n = _lowered(value), len(value)
+    plain = lower.translate(_SUBSTITUTES)
+    swapped = [0]
+    capitals = [0]
+    for a, b, c in zip(lower, plain, value):
+        swapped.append(swapped[-1] + (a != b))
+        capitals.append(capitals[-1] + c.isupper())
+    forms = [(lower, 0)] + ([(plain, 1)] if plain != lower else [])
+    out = []
+    for i in range(n):
+        for j in range(i + 2, min(n, i + ranks.longest) + 1):
+            best = None
+            for form, is_plain in forms:
+                part = form[i:j]
+                for text, turned in ((part, 0), (part[::-1], 1)):
+                    rank = ranks.get(text)
+                    if rank:
+                        upper = capitals[j] - capitals[i]
+                        cased = 0 if not upper else 1 if upper in (1, j - i) else upper
+                        swaps = (swapped[j] - swapped[i]) * is_plain
+                        cost = math.log10(rank) + 0.3 * (cased + swaps + turned)
+                        best = cost if best is None else min(best, cost)
+            if best is not None:
+                out.append((i, j, best))
+    return out
+
+
+def _lowered(value: str) -> str:
+    """Lower case, character for character."""
+    return "".join(low if len(low := c.lower()) == 1 else c for c in value)
+
+
+def special_parts(value: str, ranks: dict[str, int]) -> list[tuple[int, int, float]]:
+    """(start, end, cost) of the parts that are something else than brute force."""
+    n, lower = len(value), _lowered(value)
     brute = math.log10(_charset(value))
-    if n > LONGEST:
-        return n * brute
-    lower = value.lower()
-    longest_word = max(map(len, ranks), default=0)
-    # Cost of each part [i, j) that is something else than brute force.
-    parts: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: (start, cost)
-
-    def add(i: int, j: int, cost: float) -> None:
-        parts[j].append((i, cost))
-
+    out = _word_costs(value, ranks if isinstance(ranks, Ranks) else Ranks(ranks))
     for i in range(n):
-        for j in range(i + 2, min(n, i + longest_word) + 1):
-            cost = _word_cost(value[i:j], ranks)
-            if cost is not None:
-                add(i, j, cost)
-        for j in range(i + 4, min(n, i + 10) + 1):
-            part = value[i:j]
-            if part[0].isdecimal() and part[-1].isdecimal() and _is_date(part):
-                add(i, j, math.log10(365 * 140) if len(part) > 4 else math.log10(140))
-        # The same unit again and again.
-        for unit in (1, 2, 3, 4):
-            j = i + unit
-            while value[j:j + unit] == value[i:i + unit]:
-                j += unit
-            if j - i >= max(3, 2 * unit):
-                add(i, j, unit * brute + math.log10((j - i) // unit))
+        if value[i].isdecimal():
+            for j in range(i + 4, min(n, i + 10) + 1):
+                if value[j - 1].isdecimal() and _is_date(value[i:j]):
+                    out.append((i, j, math.log10(365 * 140) if j - i > 4 else math.log10(140)))
         # Steps of one up or down, as in abcd or 9876; all prefixes count.
         for step in (1, -1):
-            j = i + 1
-            while j < n and ord(lower[j]) - ord(lower[j - 1]) == step and lower[j].isalnum():
+            j, end = i + 1, min(n, i + WALK)
+            while j < end and ord(lower[j]) - ord(lower[j - 1]) == step and lower[j].isalnum():
                 j += 1
-            for k in range(i + 3, j + 1):
-                add(i, k, math.log10(2 * 26 * (k - i)))
+            out += [(i, k, math.log10(2 * 26 * (k - i))) for k in range(i + 3, j + 1)]
         # Walks over neighbouring keys cost a start and a few turns.
-        j, turns, move = i + 1, 0, None
-        while j < n and lower[j] in _NEAR.get(lower[j - 1], ()):
+        j, end, turns, move = i + 1, min(n, i + WALK), 0, None
+        while j < end and lower[j] in _NEAR.get(lower[j - 1], ()):
             rows = [r for c in lower[j - 1:j + 1] for r, keys in enumerate(_KEYBOARD) if c in keys]
             now = (rows[1] - rows[0], lower[j] > lower[j - 1])
             turns, move = turns + (now != move), now
             j += 1
             if j - i >= 3:
-                add(i, j, math.log10(47 * (j - i)) + turns * math.log10(6))
-    # Brute force takes any span; spans side by side never beat the one that joins them.
-    unreached = math.inf
-    best = [[unreached] * (n + 1)]
-    best[0][0] = 0.0
+                out.append((i, j, math.log10(47 * (j - i)) + turns * math.log10(6)))
+    # The same unit again and again, as far as it goes.
+    for unit in (1, 2, 3, 4):
+        same = 0  # characters from i on that equal the one a unit later
+        for i in range(n - unit - 1, -1, -1):
+            same = same + 1 if value[i] == value[i + unit] else 0
+            size = unit * (1 + same // unit)
+            if size >= max(3, 2 * unit):
+                out.append((i, i + size, unit * brute + math.log10(size // unit)))
+    return out
+
+
+def log_guesses(value: str, ranks: dict[str, int]) -> float:
+    """Decimal logarithm of the guesses needed, by the cheapest segmentation.
+
+    The cost of a segmentation is the sum of its parts' costs plus log10(k!) for the order
+    of its k parts.  Row k of the dynamic programme holds the cheapest sums of each prefix in
+    k parts.  A toll on every part, for several tolls, first gives segmentations (an upper
+    bound) and lower bounds for every k, so that only the rows up to the last k that can
+    still win are computed.
+    """
+    n = len(value)
+    if not n:
+        return 0.0
+    brute = math.log10(_charset(value))
     answer = n * brute
-    for k in range(1, n + 1):
-        row, before = [unreached] * (n + 1), best[-1]
-        reach = unreached  # cheapest before[i] - i * brute so far
-        for j in range(1, n + 1):
-            reach = min(reach, before[j - 1] - (j - 1) * brute)
-            row[j] = reach + j * brute
-            for i, cost in parts[j]:
-                row[j] = min(row[j], before[i] + cost)
-        best.append(row)
-        ordered = row[n] + math.log10(math.factorial(k))
-        if ordered >= answer and k > 1 and min(row) + math.log10(math.factorial(k)) >= answer:
+    parts = special_parts(value, ranks)
+    if not parts:
+        return answer
+    # By end; at each end the cheapest part of each start is enough.
+    parts.sort(key=lambda p: (p[1], p[0], p[2]))
+    starts = np.array([p[0] for p in parts])
+    ends = np.array([p[1] for p in parts])
+    costs = np.array([p[2] for p in parts])
+    by_end: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    for i, j, cost in parts:
+        by_end[j].append((i, cost))
+    order = np.array([math.lgamma(k + 1) / math.log(10) for k in range(n + 1)])
+    floor = np.zeros(n + 1)
+    toll = 0.0
+    for _ in range(12):
+        total, k = _tolled(by_end, n, brute, toll)
+        floor = np.maximum(floor, total - toll * np.arange(n + 1))
+        answer = min(answer, total - toll * k + order[k])
+        # The toll that the last part added would pay in the order of parts.
+        following = math.log10(k)
+        if abs(following - toll) < 1e-9:
             break
-        answer = min(answer, ordered)
+        toll = (toll + following) / 2
+    winning = np.flatnonzero(floor[1:] + order[1:] < answer - 1e-12)
+    most = int(winning[-1]) + 1 if len(winning) else 0
+    position = np.arange(n + 1) * brute
+    before = np.full(n + 1, np.inf)
+    before[0] = 0.0
+    first = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
+    for k in range(1, most + 1):
+        row = np.full(n + 1, np.inf)
+        # Brute force from any earlier place; spans of it side by side never pay.
+        row[1:] = np.minimum.accumulate(before - position)[:-1] + position[1:]
+        special = np.minimum.reduceat(before[starts] + costs, first)
+        row[ends[first]] = np.minimum(row[ends[first]], special)
+        answer = min(answer, float(row[n] + order[k]))
+        before = row
     return answer
 
 
+def _tolled(by_end: list[list[tuple[int, float]]], n: int, brute: float,
+            toll: float) -> tuple[float, int]:
+    """Least sum of costs and tolls, and the number of parts that has it."""
+    best, count = [0.0] * (n + 1), [0] * (n + 1)
+    reach, via = math.inf, 0  # cheapest start of brute force so far
+    for j in range(1, n + 1):
+        if best[j - 1] - (j - 1) * brute < reach:
+            reach, via = best[j - 1] - (j - 1) * brute, j - 1
+        cost, k = reach + j * brute + toll, count[via] + 1
+        for i, part in by_end[j]:
+            if best[i] + part + toll < cost:
+                cost, k = best[i] + part + toll, count[i] + 1
+        best[j], count[j] = cost, k
+    return best[n], count[n]
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by start and then kind."""
     spans = []
@@ -240,13 +305,31 @@ def all_spans(text: str | None, ranks: dict[str, int], least: float = MIN_LOG_GU
     return sorted(spans, key=lambda s: (s[1], order[s[0]]))
 
 
-def document_words(docs: DataFrame, text: str = "text") -> list[str]:
-    """Words of letters by the number of documents that hold them, most frequent first."""
+def document_words(docs: DataFrame, text: str = "text", most: int = WORDS) -> list[str]:
+    """Words of letters by the number of documents that hold them, most frequent first.
+
+    The least number of documents that leaves at most ``most`` words is found from counts of
+    counts, exact up to 4,096 and within one part in 2,048 beyond, so that the driver never
+    sees more words than it keeps.
+    """
     found = F.array_distinct(F.regexp_extract_all(
         F.lower(F.col(text)), F.lit(rf"(?<!\p{{L}})\p{{L}}{{3,{WORD_LETTERS}}}(?!\p{{L}})"), F.lit(0)))
-    counts = docs.select(F.explode(found).alias("word")).groupBy("word").agg(
-        F.count("*").alias("n")).where(F.col("n") >= WORD_DOCS)
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    counts = stored(docs.select(F.explode(found).alias("word")).groupBy("word").agg(
+        F.count("*").alias("n")).where(F.col("n") >= WORD_DOCS))
+    # n without its bits after the leading twelve.
+    extra = F.greatest(F.length(F.bin("n")) - 12, F.lit(0))
+    coarse = counts.select(F.call_function(
+        "shiftleft", F.call_function("shiftright", F.col("n"), extra), extra).alias("n"))
+    least, kept = None, 0
+    for row in coarse.groupBy("n").count().orderBy(F.desc("n")).collect():
+        kept += row["count"]
+        if kept > most:
+            break
+        least = row["n"]
+    if least is None:
+        return []
+    rows = counts.where(F.col("n") >= least).collect()
+    return [r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))]
 
 
 def scan(docs: DataFrame, text: str = "text", out_col: str = "secrets",
@@ -258,7 +341,7 @@ def scan(docs: DataFrame, text: str = "text", out_col: str = "secrets",
     """
     if words is None:
         words = COMMON + document_words(docs, text)
-    ranks = default_ranks(words)
+    ranks = Ranks(default_ranks(words))
 
     def batch(texts: list[str | None]) -> pd.DataFrame:
         rows = [all_spans(t, ranks, least) for t in texts]
