@@ -2,8 +2,10 @@
 
 Texts are cut into tokens (runs of letters and digits; a number with its separators and
 decimals is one).  A token is canonicalised: numbers
-become one placeholder, units behind a number another, and names (capitalised words inside a
-sentence) a third; all others are lower-cased.  Windows of ``WINDOW`` template tokens of the documents
+become one placeholder, units behind a number another, and names a third; all others are
+lower-cased.  What is a name has two readings, since a sentence may begin with one: capitalised
+words inside a sentence, or all capitalised words.  Texts are compared in both, each by itself,
+and the reading that matches better counts.  Windows of ``WINDOW`` template tokens of the documents
 are joined by hash with those of the benchmark.  A document that holds at least ``SHARE`` of
 an item's windows, with slots filled consistently (one value of the item never stands for two)
 is contaminated by the item: exact copies, and copies with other numbers, names or units.
@@ -41,17 +43,23 @@ eur cent cents percent degree degrees kmh mph watt watts volt volts
 """.split()
 # Placeholders inside templates: a number, a unit, a name.
 NUM, UNIT, NAME = "\u0003", "\u0002", "\u0001"
+# Marks a capitalised word that begins a sentence: a name in the second reading only.
+START = "\u0004"
+# The readings as bits: a window may have the same template in both.
+INSIDE, ANYWHERE = 1, 2
 PLACEHOLDERS = (NUM, UNIT, NAME)
 _WORD = r"[\p{L}\p{N}]+"
 _NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,'’][0-9]+)*(?![\p{L}\p{N}])"
 
 
 def marked(text: Column) -> Column:
-    """Text with a mark before each name and unit; control marks of its own are dropped."""
+    """Text with a mark before each name, unit and capitalised start of a sentence; control
+    marks of its own are dropped."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    out = F.translate(F.coalesce(text, F.lit("")), "".join(PLACEHOLDERS), "   ")
+    out = F.translate(F.coalesce(text, F.lit("")), "".join((*PLACEHOLDERS, START)), "    ")
     # Inside a sentence: only blanks or a comma since the last token.
     out = F.regexp_replace(out, r"([\p{L}\p{N}],?[ \t]{1,3})(\p{Lu}\p{Ll})", f"$1{NAME}$2")
+    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}{NAME}])(\p{{Lu}}\p{{Ll}})", f"{START}$1")
     return F.regexp_replace(out, rf"([0-9][ \t]?){NAME}?((?i:{units})\b)", f"$1 {UNIT}$2")
 
 
@@ -61,15 +69,17 @@ def raw_tokens(text: Column) -> Column:
 
 
 def template_tokens(text: Column) -> Column:
-    """Tokens of a marked text, slots as placeholders: as many as ``raw_tokens`` has."""
+    """Tokens of a marked text, slots as placeholders and starts of sentences still marked, with
+    blanks between: as many as ``raw_tokens`` has."""
     out = F.regexp_replace(text, f"([{NAME}{UNIT}]){_WORD}", "$1")
     out = F.regexp_replace(out, _NUMBER, NUM)
-    return F.regexp_extract_all(F.lower(out), F.lit(f"[{NAME}{UNIT}{NUM}]|{_WORD}"), F.lit(0))
+    return F.array_join(F.regexp_extract_all(
+        F.lower(out), F.lit(f"[{NAME}{UNIT}{NUM}]|{START}?{_WORD}"), F.lit(0)), " ")
 
 
 def windows(df: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
-    """(id, at, n, h, form, raw) of each window: its position, the text's number of tokens, hash
-    and tokens of its template, its own tokens.
+    """(id, at, n, raw, reads, h, form) of each window: its position, the text's number of
+    tokens, its own tokens, the readings that give a template, the template's hash and tokens.
 
     Built from shifted copies of the token arrays side by side, so that generating, hashing
     and joining run compiled.
@@ -81,18 +91,35 @@ def windows(df: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame
 
     rows = df.select(F.col(key).alias("id"), marked(F.col(text)).alias("m"))
     rows = rows.select("id", template_tokens(F.col("m")).alias("t"), raw_tokens(F.col("m")).alias("r"))
-    rows = rows.select("id", padded(F.col("t")).alias("t"), padded(F.col("r")).alias("r"))
+    rows = rows.select(
+        "id", padded(F.split(F.translate("t", START, ""), " ")).alias("t"),
+        padded(F.split(F.regexp_replace("t", f"{START}[^ ]+", NAME), " ")).alias("s"),
+        padded(F.col("r")).alias("r"))
+    kinds = ("t", "s", "r")
     shifted = [F.slice(c, i + 1, F.size(c) - (size - 1)).alias(f"{c}{i}")
-               for c in ("t", "r") for i in range(size)]
+               for c in kinds for i in range(size)]
     places = F.sequence(F.lit(0), F.size("t") - size).alias("at")
     wide = rows.select("id", F.size("t").alias("n"), places, *shifted).select(
-        "id", "n", F.inline(F.arrays_zip(
-            "at", *[f"{c}{i}" for c in ("t", "r") for i in range(size)])))
-    forms, raws = [f"t{i}" for i in range(size)], [f"r{i}" for i in range(size)]
-    told = [~F.col(f).isin("", *PLACEHOLDERS) for f in forms]
-    return wide.where(reduce(Column.__or__, told)).select(
-        "id", "at", "n", F.xxhash64(*forms).alias("h"), F.array(*forms).alias("form"),
-        F.array(*raws).alias("raw"))
+        "id", "n", F.inline(F.arrays_zip("at", *[f"{c}{i}" for c in kinds for i in range(size)])))
+    inside, anywhere, raws = ([f"{c}{i}" for i in range(size)] for c in kinds)
+    wide = wide.select(
+        "id", "at", "n", *inside, *anywhere, *raws, F.xxhash64(*inside).alias("h1"),
+        F.xxhash64(*anywhere).alias("h2"))
+
+    def told(form: list[str]) -> Column:
+        return reduce(Column.__or__, [~F.col(f).isin("", *PLACEHOLDERS) for f in form])
+
+    same = F.col("h1") == F.col("h2")
+    forms = F.array(
+        F.when(told(inside), F.struct(
+            F.when(same, INSIDE | ANYWHERE).otherwise(INSIDE).alias("reads"),
+            F.col("h1").alias("h"), F.array(*inside).alias("form"))),
+        F.when(~same & told(anywhere), F.struct(
+            F.lit(ANYWHERE).alias("reads"), F.col("h2").alias("h"),
+            F.array(*anywhere).alias("form"))))
+    return wide.select(
+        "id", "at", "n", F.array(*raws).alias("raw"), F.explode(forms).alias("f")).where(
+        "f is not null").select("id", "at", "n", "raw", "f.reads", "f.h", "f.form")
 
 
 def _slots(form: Column, raw: Column) -> Column:
@@ -100,14 +127,20 @@ def _slots(form: Column, raw: Column) -> Column:
     return F.zip_with(form, raw, lambda f, r: F.when(f.isin(*PLACEHOLDERS), r))
 
 
+def _readings(bits: Column) -> Column:
+    return F.filter(F.array(F.lit(INSIDE), F.lit(ANYWHERE)), lambda r: bits.bitwiseAND(r) > 0)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text",
                  item_key: str = "item_id", item_text: str = "text", share: float = SHARE,
                  ) -> DataFrame:
     """Pairs (doc, item) with windows matched, all of the item's, and whether slots changed."""
     own = windows(items, item_key, item_text).select(
-        F.col("id").alias("item"), "h", F.col("at").alias("item_at"), "n",
+        F.col("id").alias("item"), "h", F.col("at").alias("item_at"), F.col("n").alias("own_n"),
+        F.col("reads").alias("own_reads"),
         _slots(F.col("form"), F.col("raw")).alias("item_slots")).distinct()
-    sizes = own.groupBy("item").agg(F.countDistinct("h").alias("n_windows"))
+    sizes = own.select("item", "h", F.explode(_readings(F.col("own_reads"))).alias("reading")).groupBy(
+        "item", "reading").agg(F.countDistinct("h").alias("n_windows"))
     # Checked size: a benchmark is small, but nothing here relies on it.
     if own.count() <= BROADCAST_WINDOWS:
         own, sizes = F.broadcast(own), F.broadcast(sizes)
@@ -118,11 +151,13 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
                        for kind, where in enumerate((
                            shift, F.floor(shift / F.col("own_n")),
                            F.floor(shift / F.col("own_n") + 0.5), F.lit(0)))])
-    hits = windows(docs.where(F.col(key).isNotNull()), key, text).drop("n").join(
-        own.withColumnRenamed("n", "own_n"), "h").select(
+    # A window counts in the readings that give both texts its template.
+    hits = windows(docs.where(F.col(key).isNotNull()), key, text).drop("n").join(own, "h").select(
         "id", "item", "h", "item_slots", _slots(F.col("form"), F.col("raw")).alias("doc_slots"),
-        F.explode(places).alias("place")).distinct()
-    place = ["id", "item", "place"]
+        places.alias("places"),
+        F.explode(_readings(F.col("reads").bitwiseAND(F.col("own_reads")))).alias("reading"),
+    ).withColumn("place", F.explode("places")).drop("places").distinct()
+    place = ["id", "item", "reading", "place"]
     # A value of the item that stands for two values in one place leaves out its windows there.
     pairs = hits.select(
         *place, "h", F.explode_outer(F.filter(
@@ -138,13 +173,14 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
         F.countDistinct("h").alias("n_matched"),
         F.coalesce(F.max((F.col("item_slots") != F.col("doc_slots")).cast("int")), F.lit(0))
         .alias("changed"))
-    best = found.groupBy("id", "item").agg(F.max(F.struct(
-        "n_matched", (1 - F.col("changed")).alias("same"))).alias("best"))
-    return best.join(sizes, "item").where(
-        F.col("best.n_matched") >= share * F.col("n_windows")).select(
-        F.col("id").alias("doc_id"), F.col("item").alias("item_id"),
-        F.col("best.n_matched").alias("n_matched"), "n_windows",
-        (F.col("best.same") == 0).alias("reparameterised"))
+    best = found.join(sizes, ["item", "reading"]).where(
+        F.col("n_matched") >= share * F.col("n_windows")).groupBy("id", "item").agg(F.max(F.struct(
+            (F.col("n_matched") / F.col("n_windows")).alias("share"),
+            (1 - F.col("changed")).alias("same"), (-F.col("reading")).alias("first"),
+            "n_matched", "n_windows")).alias("best"))
+    return best.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "best.n_matched",
+        "best.n_windows", (F.col("best.same") == 0).alias("reparameterised"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id",
