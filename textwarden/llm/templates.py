@@ -127,37 +127,40 @@ def _slots(form: Column, raw: Column) -> Column:
     return F.zip_with(form, raw, lambda f, r: F.when(f.isin(*PLACEHOLDERS), r))
 
 
-def _readings(bits: Column) -> Column:
-    return F.filter(F.array(F.lit(INSIDE), F.lit(ANYWHERE)), lambda r: bits.bitwiseAND(r) > 0)
-
-
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text",
                  item_key: str = "item_id", item_text: str = "text", share: float = SHARE,
                  ) -> DataFrame:
     """Pairs (doc, item) with windows matched, all of the item's, and whether slots changed."""
-    own = windows(items, item_key, item_text).select(
+    # Asked for early: a join that adds this later to one use of the hits only would have them
+    # computed twice.
+    own = windows(items.where(F.col(item_key).isNotNull()), item_key, item_text).select(
         F.col("id").alias("item"), "h", F.col("at").alias("item_at"), F.col("n").alias("own_n"),
         F.col("reads").alias("own_reads"),
         _slots(F.col("form"), F.col("raw")).alias("item_slots")).distinct()
-    sizes = own.select("item", "h", F.explode(_readings(F.col("own_reads"))).alias("reading")).groupBy(
-        "item", "reading").agg(F.countDistinct("h").alias("n_windows"))
+    # Windows of each item by reading; they travel with the item's windows.
+    own = own.join(own.groupBy("item").agg(*[
+        F.countDistinct(F.when(F.col("own_reads").bitwiseAND(r) > 0, F.col("h"))).alias(f"of{r}")
+        for r in (INSIDE, ANYWHERE)]), "item")
     # Checked size: a benchmark is small, but nothing here relies on it.
     if own.count() <= BROADCAST_WINDOWS:
-        own, sizes = F.broadcast(own), F.broadcast(sizes)
+        own = F.broadcast(own)
     shift = F.col("at") - F.col("item_at")
     # Two copies are at least an item's length apart, so a stretch of that length holds one;
     # stretches overlap by half, so a copy that drifts by less than that is whole in one.
-    places = F.array(*[F.struct(F.lit(kind).alias("kind"), where.cast("long").alias("where"))
-                       for kind, where in enumerate((
-                           shift, F.floor(shift / F.col("own_n")),
-                           F.floor(shift / F.col("own_n") + 0.5), F.lit(0)))])
     # A window counts in the readings that give both texts its template.
+    both = F.col("reads").bitwiseAND(F.col("own_reads"))
+    places = F.array(*[
+        F.when(both.bitwiseAND(reading) > 0, F.struct(
+            F.lit(reading).alias("reading"), F.lit(kind).alias("kind"),
+            where.cast("long").alias("where"), F.col(f"of{reading}").alias("n_windows")))
+        for reading in (INSIDE, ANYWHERE)
+        for kind, where in enumerate((
+            shift, F.floor(shift / F.col("own_n")), F.floor(shift / F.col("own_n") + 0.5),
+            F.lit(0)))])
     hits = windows(docs.where(F.col(key).isNotNull()), key, text).drop("n").join(own, "h").select(
         "id", "item", "h", "item_slots", _slots(F.col("form"), F.col("raw")).alias("doc_slots"),
-        places.alias("places"),
-        F.explode(_readings(F.col("reads").bitwiseAND(F.col("own_reads")))).alias("reading"),
-    ).withColumn("place", F.explode("places")).drop("places").distinct()
-    place = ["id", "item", "reading", "place"]
+        F.explode(places).alias("place")).where("place is not null").distinct()
+    place = ["id", "item", "place"]
     # A value of the item that stands for two values in one place leaves out its windows there.
     pairs = hits.select(
         *place, "h", F.explode_outer(F.filter(
@@ -173,11 +176,12 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
         F.countDistinct("h").alias("n_matched"),
         F.coalesce(F.max((F.col("item_slots") != F.col("doc_slots")).cast("int")), F.lit(0))
         .alias("changed"))
-    best = found.join(sizes, ["item", "reading"]).where(
-        F.col("n_matched") >= share * F.col("n_windows")).groupBy("id", "item").agg(F.max(F.struct(
-            (F.col("n_matched") / F.col("n_windows")).alias("share"),
-            (1 - F.col("changed")).alias("same"), (-F.col("reading")).alias("first"),
-            "n_matched", "n_windows")).alias("best"))
+    # Never null; said so that no filter on it is pushed into this use of the hits only.
+    n_windows, reading = F.coalesce("place.n_windows", F.lit(0)), F.col("place.reading")
+    best = found.where(F.col("n_matched") >= share * n_windows).groupBy("id", "item").agg(
+        F.max(F.struct(
+            (F.col("n_matched") / n_windows).alias("share"), (1 - F.col("changed")).alias("same"),
+            (-reading).alias("first"), "n_matched", n_windows.alias("n_windows"))).alias("best"))
     return best.select(
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "best.n_matched",
         "best.n_windows", (F.col("best.same") == 0).alias("reparameterised"))
