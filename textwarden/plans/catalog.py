@@ -53,7 +53,7 @@ PER_MINUTE, PER_HOUR = 1, 2
 TOPIC_THRESHOLD, BLOCK_THRESHOLD, MEAN_THRESHOLD = 0.213, 0.261, 0.0137
 # Descriptions for the letter-counting embedder, and thresholds that divide the documents.
 TEXT_TOPICS = ["a tour of the outer ports", "interest rates and tariffs"]
-TEXT_TOPIC_THRESHOLD, TEXT_BLOCK_THRESHOLD = 0.93, 0.95
+TEXT_TOPIC_THRESHOLD, TEXT_BLOCK_THRESHOLD = 0.83, 0.9
 
 
 def query(name: str | Query):

@@ -528,21 +528,21 @@ ORACLES: dict[str, str] = {
     s AS (SELECT doc_id, {_likeness("clean", _TOPIC_A)} AS a, {_likeness("clean", _TOPIC_B)} AS b FROM r5),
     m AS (SELECT doc_id, greatest(a, b) AS s, CASE WHEN a >= b THEN {_q(_TOPIC_A)} ELSE {_q(_TOPIC_B)} END AS t
           FROM s)
-    SELECT doc_id, CASE WHEN s >= 0.93 THEN 'allow' ELSE 'block' END AS result,
-      CASE WHEN s >= 0.93 THEN 'Topic match (similarity: ' || format('{{:.3f}}', s) || ')'
-        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', s) || ' < 0.93)' END AS reason,
-      round(s, 6) AS score, CASE WHEN s >= 0.93 THEN t END AS topic, 0.93 AS threshold FROM m""",
+    SELECT doc_id, CASE WHEN s >= 0.83 THEN 'allow' ELSE 'block' END AS result,
+      CASE WHEN s >= 0.83 THEN 'Topic match (similarity: ' || format('{{:.3f}}', s) || ')'
+        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', s) || ' < 0.83)' END AS reason,
+      round(s, 6) AS score, CASE WHEN s >= 0.83 THEN t END AS topic, 0.83 AS threshold FROM m""",
     "semantic_allow_block_text": f"""
     WITH s AS (SELECT doc_id, len({_violations("text")}) = 0 AS on_,
         {_likeness("text", _TOPIC_A)} AS a, {_likeness("text", _TOPIC_B)} AS b FROM documents)
-    SELECT doc_id, CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 OR a < 0.93 THEN 'block' ELSE 'allow' END AS result,
+    SELECT doc_id, CASE WHEN NOT on_ THEN NULL WHEN b >= 0.9 OR a < 0.83 THEN 'block' ELSE 'allow' END AS result,
       CASE WHEN NOT on_ THEN NULL
-        WHEN b >= 0.95 THEN 'Content matches blocked topic (similarity: ' || format('{{:.3f}}', b) || ')'
-        WHEN a >= 0.93 THEN 'Topic match (similarity: ' || format('{{:.3f}}', a) || ')'
-        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', a) || ' < 0.93)' END AS reason,
-      CASE WHEN on_ THEN round(CASE WHEN b >= 0.95 THEN b ELSE a END, 6) END AS score,
-      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 THEN {_q(_TOPIC_B)} WHEN a >= 0.93 THEN {_q(_TOPIC_A)} END AS topic,
-      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.95 THEN 0.95 ELSE 0.93 END AS threshold FROM s""",
+        WHEN b >= 0.9 THEN 'Content matches blocked topic (similarity: ' || format('{{:.3f}}', b) || ')'
+        WHEN a >= 0.83 THEN 'Topic match (similarity: ' || format('{{:.3f}}', a) || ')'
+        ELSE 'Off-topic (similarity: ' || format('{{:.3f}}', a) || ' < 0.83)' END AS reason,
+      CASE WHEN on_ THEN round(CASE WHEN b >= 0.9 THEN b ELSE a END, 6) END AS score,
+      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.9 THEN {_q(_TOPIC_B)} WHEN a >= 0.83 THEN {_q(_TOPIC_A)} END AS topic,
+      CASE WHEN NOT on_ THEN NULL WHEN b >= 0.9 THEN 0.9 ELSE 0.83 END AS threshold FROM s""",
     "threshold_curve": _CURVE,
     "best_threshold": f"SELECT * FROM ({_CURVE}) ORDER BY correct DESC, threshold DESC LIMIT 1",
     "model_judge": _judged(0.7, ", c AS confidence"),
