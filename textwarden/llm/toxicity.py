@@ -13,7 +13,7 @@ Bounds: the sample has at most about ``PER_CLASS`` rows of each class, the vocab
 ``TERMS`` terms, those of the largest difference between the classes.
 
 Defined cases: null and empty texts, and texts without a known term, have no neighbours and
-get the calibrated score of the prior; without labelled rows of both classes every score is the
+get the calibrated score of a vote of 0, the lowest; without labelled rows of both classes every score is the
 share of toxic rows (0 without any); equal similarities prefer the smaller example id; labels
 that are null or other than 0 and 1 are not learned from; repeated labels count as repeated;
 texts are read whole; other columns are ignored.
