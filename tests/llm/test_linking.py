@@ -68,3 +68,48 @@ def test_encoding_with_several_threads(spark):
     rows = lambda df: sorted((r["doc_id"], r["tokens"]["ids"], r["tokens"]["parity"], r["tokens"]["round_trip"])
                              for r in df.collect())
     assert rows(pieces.encode(docs, check=True, threads=4)) == rows(pieces.encode(docs, check=True, threads=1))
+
+
+def test_few_pairs_of_near_copies_that_are_not_alike(spark):
+    """Copies of one text with many words changed, most pairs of them less than 0.8 alike: only
+    pairs that the odd bits leave open are verified, and the components are those of all pairs."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(300), rng.choice([2, 8, 9, 10, 11])):
+            words[at] = f"v{i}x{at}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tried, real = [], near._verified
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return real(pairs, *rest)
+
+    near._verified = counted
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(docs, words=4).collect()}
+    finally:
+        near._verified = real
+    sets = [set(near.shingle_set(t, 4).tolist()) for t in texts]
+    top = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 100 * len(x & sets[j]) >= 80 * len(x | sets[j]) and top[i] != top[j]:
+                low, high = sorted((top[i], top[j]))
+                top = [low if t == high else t for t in top]
+    assert [got[i] for i in range(len(sets))] == top
+    assert sum(tried) <= 4 * len(sets) + 200
+
+
+def test_odd_bits_never_exceed_the_difference():
+    rng = random.Random(9)
+    for size in (1, 30, 3000, 30000):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(size)]
+        changed = [w if rng.random() < 0.95 else "x" for w in words]
+        one, two = near.shingle_set(" ".join(words), 4), near.shingle_set(" ".join(changed), 4)
+        apart = len(set(one.tolist()) ^ set(two.tolist()))
+        bits = sum(int(x).bit_count() for x in (near.odd_bits(one) ^ near.odd_bits(two)).view("u8"))
+        assert bits <= apart

@@ -45,12 +45,14 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 def link_components(
     members: DataFrame, sides: DataFrame, distance: Callable[[Callable, Callable], Column],
     most: int, accept: Callable[[DataFrame], DataFrame], rounds: int = 4,
+    possible: Callable[[Callable, Callable], Column] | None = None,
 ) -> DataFrame:
     """(node, component) of the nodes that share a band.
 
     ``sides`` has columns of each node; ``distance`` makes of them, for the two sides of a
     pair, an estimate of how far apart they are, which is up to ``most`` for all that are worth
-    a closer look; ``accept`` keeps the true pairs (a, b).
+    a closer look; ``accept`` keeps the true pairs (a, b).  ``possible`` is true for all pairs
+    that ``accept`` may keep: a bound that loses none, for columns only the last step reads.
 
     In a round every node has one try: of the hubs of its bands, the nearest within ``most``.
     A band's hub is a member of its heaviest component (weights are summed from the sizes of
@@ -58,7 +60,7 @@ def link_components(
     each node at most; components are merged by it before the next round.  A band whose members
     are in one component is closed and its rows are left out from then on; when none is open,
     that is all.  After the rounds all pairs within ``most`` across the components of the open
-    bands are tried, each in the first band that its two nodes share.  So every such pair that
+    bands are tried, each in the first band that its two nodes share, if they are ``possible``.  So every such pair that
     shares a band is linked, found to be no link, or already connected, while a group of copies
     costs one pair for each member.
     """
@@ -95,7 +97,9 @@ def link_components(
     rows = members.select("node", "band", "component").join(bands, "node").join(sides, "node")
     x = rows.toDF("a", "band", "ca", "a_bands", *[f"a_{c}" for c in names])
     y = rows.toDF("b", "band", "cb", "b_bands", *[f"b_{c}" for c in names])
-    across = x.join(y, "band").where((F.col("ca") < F.col("cb")) & (far <= most) & (
+    worth = F.lit(True) if possible is None else possible(
+        lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))
+    across = x.join(y, "band").where((F.col("ca") < F.col("cb")) & (far <= most) & worth & (
         F.element_at(F.array_intersect("a_bands", "b_bands"), 1) == F.col("band")))
     links = stored(accept(across.select("a", "b")))
     parts = parts if links.isEmpty() else _merged(parts, links)

@@ -8,7 +8,10 @@ as with independent samples.  ``ROWS`` coordinates make a band; sets of one band
 candidates.  At a similarity of 0.8 a pair shares none of the ``BANDS`` bands with
 probability 2e-6.  One bit of each of ``BITS`` coordinates rules out pairs whose estimate is
 under ``similarity - MARGIN`` (for a pair of just that similarity a deviation of 4.9, chance
-6e-7); the rest is verified on the full shingle sets of the texts.
+6e-7); the rest is verified on the full shingle sets of the texts.  Before the last step, which
+takes all pairs that are left in a band, ``ODD`` bits of each set rule out most others without
+an error: a bit says whether an odd number of shingles falls on it, so two sets have at least as
+many shingles apart as they have bits that differ.
 
 Equal sets are one node.  ``linking`` seeks links so that no group of copies is expanded
 into its pairs and no link between different components is lost.
@@ -34,6 +37,7 @@ from .shingles import shingle_set
 
 ROWS, BANDS, BITS = 7, 56, 384
 MARGIN = 0.15
+ODD = 1024
 _MASK = np.uint64(0xFFFFFFFF)
 _SEEDS = mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -70,8 +74,14 @@ def _packed(filled: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def odd_bits(shingles: np.ndarray) -> np.ndarray:
+    """Of each bit whether an odd number of shingles falls on it, as signed integers of 64."""
+    place = (shingles >> np.uint64(40)).astype(np.int64) % ODD
+    return np.packbits((np.bincount(place, minlength=ODD) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row: id, set size, 128-bit set hash, bands and the bits for the estimate."""
+    """Per row: id, set size, 128-bit set hash, bands, the bits for the estimate and the odd ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -79,19 +89,19 @@ def _describe(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             for t in frame["text"]:
                 s = shingle_set(t if isinstance(t, str) else None, words)
                 if not len(s):
-                    rows.append((0, 0, 0, None, None))
+                    rows.append((0, 0, 0, None, None, None))
                     continue
                 first = int(s.sum(dtype=np.uint64).view(np.int64))
                 second = int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                 filled = sketch(s)
                 rows.append((len(s), first, second, bands(filled).view(np.int64),
-                             _packed(filled)))
-            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "bands", "bits"])
+                             _packed(filled), odd_bits(s)))
+            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "bands", "bits", "odd"])
             out.insert(0, "id", frame["id"].to_numpy())
             yield out
 
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
-        run, "id long, n long, h1 long, h2 long, bands array<long>, bits array<long>")
+        run, "id long, n long, h1 long, h2 long, bands array<long>, bits array<long>, odd array<long>")
 
 
 def _differing(one, two) -> Column:
@@ -101,6 +111,18 @@ def _differing(one, two) -> Column:
     return sum((gap(i) for i in range(1, BITS // 64)), gap(0))
 
 
+def _possible(percent: int):
+    """Whether 100 * intersection can reach percent * union, by the sizes and the odd bits."""
+
+    def test(one, two) -> Column:
+        gap = lambda i: F.bit_count(one("odd")[i].bitwiseXOR(two("odd")[i]))
+        apart = F.greatest(
+            sum((gap(i) for i in range(1, ODD // 64)), gap(0)), F.abs(one("n") - two("n")))
+        return (100 + percent) * apart <= (100 - percent) * (one("n") + two("n"))
+
+    return test
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union."""
 
@@ -132,7 +154,7 @@ def near_duplicates(
     sets = filled.groupBy("h1", "h2").agg(F.min("id").alias("node"))
     nodes = stored(
         filled.join(sets, ["h1", "h2"]).where("id = node")
-        .select("node", "bands", "bits").dropDuplicates(["node"]))
+        .select("node", "n", "bands", "bits", "odd").dropDuplicates(["node"]))
 
     members = shared_members(nodes.select(F.explode("bands").alias("band"), "node"))
     texts = stored(
@@ -141,9 +163,9 @@ def near_duplicates(
         .join(members.select("node").distinct(), "node", "left_semi"))
 
     parts = link_components(
-        members, nodes.select("node", "bits"), _differing,
+        members, nodes.select("node", "n", "bits", "odd"), _differing,
         int((1 - percent / 100 + MARGIN) / 2 * BITS),
-        lambda pairs: _verified(pairs, texts, words, percent))
+        lambda pairs: _verified(pairs, texts, words, percent), possible=_possible(percent))
     whole = sets.join(parts, "node", "left").select(
         "h1", "h2", F.coalesce("component", "node").alias("component"))
     return described.join(
