@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from textwarden.llm import common
+from textwarden.llm import common, repeats
 
 
 def _shuffled(spark) -> set[str]:
@@ -31,3 +31,16 @@ def test_a_stored_step_leaves_no_shuffle_files(spark):
     assert not _gone(spark, before)
     assert out.count() == 100 and out.agg(F.sum("count")).first()[0] == 20_000
     assert spark.conf.get(common.CLEANUP, None) == setting
+
+
+def test_steps_of_repeats_are_written(spark):
+    """Keys, segments and texts are not shuffled by one job: the last one only joins spans."""
+    passage = "the same passage of more than fifty bytes stands in both of these texts. "
+    docs = spark.createDataFrame([(1, passage + "one"), (2, "two " + passage), (3, "none"), (None, passage)],
+                                 "doc_id long, text string")
+    out = repeats.cut_repeats(docs)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and plan.count("Aggregate") == 1
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out.collect()}
+    size = len(passage)
+    assert got == {1: (size + 3, 0, 0), 2: (size + 4, size, 1), 3: (4, 0, 0), None: (size, 0, 0)}

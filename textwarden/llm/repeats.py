@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, table
+from .common import mix, stored, table
 
 LENGTH = 50
 GRAM = 18
@@ -229,18 +229,26 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ---- over a table ------------------------------------------------------------------
 
+def _bytes(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+
+
 def _pack(text: str | None) -> bytes:
-    return zstandard.compress((text or "").encode("utf-8", "surrogatepass"), 1)
+    return zstandard.compress(_bytes(text), 1)
+
 
+def repeated_strings(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, start, count): the strings of each document (id, z) that occur in an earlier one.
 
-def repeated_strings(docs: DataFrame) -> DataFrame:
-    """(id, start, count): the strings of each document (id, z) that occur in an earlier one."""
+    ``texts`` has the same documents as (id, text).  Each step is written, so that its shuffles
+    are off the disks before the next one: keys, segments and texts never lie there together.
+    """
 
     def own_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids, keys, size = [], [], 0
-            for name, z in zip(frame["id"], frame["z"]):
-                key = np.unique(segments(zstandard.decompress(z))[0])
+            for name, t in zip(frame["id"], frame["text"]):
+                key = np.unique(segments(_bytes(t))[0])
                 ids.append(np.full(len(key), name, dtype=np.int64))
                 keys.append(key)
                 size += len(key)
@@ -251,10 +259,10 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"key": np.concatenate(keys), "id": np.concatenate(ids)})
 
     # Combined before its shuffle; the join with the result splits keys that are frequent.
-    keys = docs.mapInPandas(own_keys, "key long, id long")
+    keys = texts.mapInPandas(own_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     wanted = keys.join(shared.where("low < high").select("key"), "key", "left_semi")
-    wanted = wanted.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    wanted = stored(wanted.groupBy("id").agg(F.collect_list("key").alias("keys")))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -274,7 +282,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     parts = docs.join(wanted, "id").mapInPandas(
         cut, "key long, id long, start long, bytes binary")
     sorted_ = parts.repartition("key").sortWithinPartitions("key", "id", "start")
-    return sorted_.mapInPandas(_scan, "id long, start long, count long")
+    return stored(sorted_.mapInPandas(_scan, "id long, start long, count long"))
 
 
 def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -286,7 +294,8 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     pack = F.pandas_udf(packed, "binary").asNondeterministic()
     rows = docs.select(F.col(key).cast("long").alias("id"), pack(F.col(text)).alias("z"))
-    found = repeated_strings(rows.where("id is not null"))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    found = repeated_strings(rows.where("id is not null"), texts.where("id is not null"))
     spans = found.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
