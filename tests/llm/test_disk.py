@@ -2,9 +2,11 @@
 
 import os
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from textwarden.llm import common, repeats
+from textwarden.llm import common, phrases, repeats
 
 
 def _shuffled(spark) -> set[str]:
@@ -44,3 +46,20 @@ def test_steps_of_repeats_are_written(spark):
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out.collect()}
     size = len(passage)
     assert got == {1: (size + 3, 0, 0), 2: (size + 4, size, 1), 3: (4, 0, 0), None: (size, 0, 0)}
+
+
+def test_a_task_of_answers_has_one_range(spark):
+    """Ranges are dealt over as many partitions, so a task does not take more of a larger corpus."""
+    rows = []
+    for chunk in range(3):
+        for part in range(40):
+            fps = np.arange(5, dtype=np.uint64) + np.uint64(part * 16 + chunk)
+            rows.append((part, chunk, phrases.pack(fps),
+                         np.full(5, 4, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()))
+    sent = spark.createDataFrame(pd.DataFrame(rows, columns=["part", "chunk", "fps", "counts"]),
+                                 "part long, chunk long, fps binary, counts binary")
+    out = phrases._answers(sent, 12, 40)
+    assert out.rdd.getNumPartitions() == 40
+    got = sorted((r["chunk"], phrases.unpack(r["fps"]).tolist()) for r in out.collect())
+    # Only what all three chunks have occurs 12 times.
+    assert got == sorted((c, [p * 16 + 2, p * 16 + 3, p * 16 + 4]) for c in range(3) for p in range(40))

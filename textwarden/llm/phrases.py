@@ -194,8 +194,12 @@ def _sent(chunks: DataFrame, ranges: int, longest: int, bits: int) -> DataFrame:
         run, "part long, chunk long, fps binary, counts binary")
 
 
-def _answers(sent: DataFrame, least: int) -> DataFrame:
-    """(chunk, fps): of each range, the fingerprints of a chunk that are frequent in all."""
+def _answers(sent: DataFrame, least: int, ranges: int) -> DataFrame:
+    """(chunk, fps): of each range, the fingerprints of a chunk that are frequent in all.
+
+    There are as many partitions as ranges, so what a task and its Arrow batches hold does not
+    grow with the corpus.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -224,7 +228,7 @@ def _answers(sent: DataFrame, least: int) -> DataFrame:
             pa.array([held[i][0] for i in some], pa.int64()),
             pa.array([pack(chosen[i]) for i in some], pa.binary())], names=["chunk", "fps"])
 
-    return (sent.repartition("part").sortWithinPartitions("part")
+    return (sent.repartition(ranges, "part").sortWithinPartitions("part")
             .mapInArrow(run, "chunk long, fps binary"))
 
 
@@ -283,7 +287,8 @@ def counts(
     held, = chunks.agg(F.sum("held")).first()
     total = longest * (held or 0)
     ranges, bits = 1 << (total // RANGE).bit_length(), min(64, total.bit_length() + spare)
-    answers = _answers(_sent(chunks, ranges, longest, bits), least).groupBy("chunk").agg(
+    # Written before the chunks are moved: what was sent is off the disks by then.
+    answers = stored(_answers(_sent(chunks, ranges, longest, bits), least, ranges)).groupBy("chunk").agg(
         F.collect_list("fps").alias("answers"))
     return _written_out(chunks.join(answers, "chunk", "left"), longest, bits).groupBy(
         "lang", "k", "phrase").agg(F.sum("n").alias("n")).where((F.col("k") == 0) | (F.col("n") >= least))
