@@ -6,7 +6,7 @@ from urllib.parse import urlparse
 
 import numpy as np
 
-from textwarden.llm import common, lines
+from textwarden.llm import common, lines, pieces
 from textwarden.llm.edits import within
 from textwarden.session import scratch_folder
 
@@ -88,3 +88,27 @@ def test_long_lines_are_compared(spark):
     docs = spark.createDataFrame([(1, long), (2, other), (3, " ".join(words[::-1]))], "doc_id long, text string")
     got = {r["doc_id"]: r["n"] for r in lines.deduplicate(docs, dropped="n").collect()}
     assert got == {1: 0, 2: 1, 3: 0}
+
+
+def test_words_are_decoded_once():
+    raw = pieces._model_bytes(pieces.MODEL_PATH)
+    encoder, seen = pieces.Encoder(raw, check=True), []
+    decode = encoder.decode
+    encoder.decode = lambda ids: seen.extend(ids) or decode(ids)
+    texts = ["one two three", "two\tthree  four", "", None, " x ", "a ▁ b", "日本 \U0001F600 <0x41>"]
+    first = encoder.checked(texts)
+    want = [x == (t or "") for x, t in zip(decode([ids for ids, _, _ in first]), texts)]
+    assert [back for _, _, back in first] == want and want == [True] * 5 + [False, True]
+    seen.clear()
+    again = encoder.checked(texts * 3)
+    assert not seen and [r[1:] for r in again] == [r[1:] for r in first] * 3
+    # Without words, and with those held that were met last.
+    whole, small = pieces.Encoder(raw, check=True), pieces.Encoder(raw, cache=8, check=True)
+    whole.by_words = False
+    for one in (whole, small):
+        for _ in range(3):
+            got = [one.checked([t])[0] for t in texts]
+            assert [(ids.tolist(), *rest) for ids, *rest in got] == [
+                (ids.tolist(), *rest) for ids, *rest in first]
+    assert set(small.words) >= small.met and len(small.words) <= 8
+    assert all(r[2] is None for r in pieces.Encoder(raw).checked(texts))

@@ -7,9 +7,10 @@ of the piece they make.  Batches are encoded by the library's own threads.
 
 If no piece holds a marker after another character, no segmentation crosses the start of a
 word, and a text's tokens are those of its words one after the other.  Then only words not
-met before in a task are encoded, and each of them is compared with the reference encoder:
-``parity`` tells whether all words of a text agree.  For other models whole texts are encoded
-and compared.
+met of late in a task are encoded, and each of them is compared with the reference encoder and
+with what its tokens decode to: ``parity`` tells whether all words of a text agree, and
+``round_trip`` whether all decode back.  For other models whole texts are encoded, compared
+and decoded.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text; characters
 outside the vocabulary become bytes (or the unknown piece, which does not decode back); a
@@ -39,7 +40,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 # Words kept in a task: a bound on memory, not on what is encoded.
-CACHE = 120_000
+CACHE = 240_000
 # Texts in a frame that goes back to Spark.
 FRAME = 128
 SCHEMA = "ids array<int>, parity boolean, round_trip boolean"
@@ -190,18 +191,22 @@ def build_reference(model: PieceModel):
 # ---- encoding ------------------------------------------------------------------
 
 class Encoder:
-    """Encodes lists of texts; keeps the words met so far."""
+    """Encodes lists of texts; keeps the words met of late."""
 
-    def __init__(self, raw: bytes, threads: int = 1, cache: int = CACHE):
+    def __init__(self, raw: bytes, threads: int = 1, cache: int = CACHE, check: bool = False):
         # Read by the library when it starts its threads.
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        self.threads, self.cache = threads, cache
+        self.threads, self.cache, self.check = threads, cache, check
         self.model = parse_model(raw)
         self.tokenizer = build_tokenizer(self.model)
         self.reference = build_reference(self.model)
+        # Ids of the words held, which of them were met since some were last forgotten, which
+        # the reference encodes in another way, and which do not decode back.
         self.words: dict[str, bytes] = {}
+        self.met: set[str] = set()
         self.differing: set[str] = set()
+        self.broken: set[str] = set()
         self.marked = np.array([p.startswith(MARK) for p in self.model.pieces])
         self.lone = self.tokenizer.token_to_id(MARK)
         self.by_words = self.model.by_words and not self.model.trim and self.lone is not None
@@ -219,38 +224,60 @@ class Encoder:
         plain = [w for w in fresh if len(w) > 1 and w[1] != " "]
         groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
         rest = [w for w in fresh if len(w) > 1 and w[1] == " "]
-        # The encoders put the first marker back.
-        for words, (ids, same) in zip(groups, self._encode(["".join(g)[1:] for g in groups])):
+        # The encoders put the first marker back, and decoding takes it away.
+        for words, (ids, same, back) in zip(groups, self._checked(["".join(g)[1:] for g in groups])):
             starts = np.flatnonzero(self.marked[ids])
-            if same and len(starts) == len(words):
+            if same and back is not False and len(starts) == len(words):
                 data, ends = ids.tobytes(), [*(starts[1:] * 4).tolist(), 4 * len(ids)]
                 self.words.update(
                     (w, data[i:j]) for w, i, j in zip(words, (starts * 4).tolist(), ends))
             else:
                 rest += words
-        for word, (ids, same) in zip(rest, self._encode([w[1:] for w in rest])):
+        for word, (ids, same, back) in zip(rest, self._checked([w[1:] for w in rest])):
             self.words[word] = ids.tobytes()
             if not same:
                 self.differing.add(word)
+            if back is False:
+                self.broken.add(word)
         self.words[" "] = np.array([self.lone], dtype=np.int32).tobytes()
 
+    def _checked(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool | None]]:
+        """Ids, parity and, if it is to be checked, whether the ids decode back."""
+        rows = self._encode(texts)
+        if not self.check:
+            return [(*r, None) for r in rows]
+        return [(*r, x == y) for r, x, y in zip(rows, self.decode([r[0] for r in rows]), texts)]
+
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
+        """Ids and parity of every text."""
+        return [r[:2] for r in self.checked(texts)]
+
+    def checked(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, bool | None]]:
+        """Ids, parity and round trip (null unless the encoder checks it) of every text."""
         texts = [t or "" for t in texts]
         if not self.by_words:
-            return self._encode(texts)
+            return self._checked(texts)
         out = []
         for at in range(0, len(texts), 64):
+            some = texts[at:at + 64]
             # A word is a run of markers and what follows; the text has one put before it.
-            parts = [_WORD.findall(" " + t.replace(MARK, " ")) if t else []
-                     for t in texts[at:at + 64]]
-            fresh = {w for p in parts for w in p if w not in self.words}
-            if len(self.words) + len(fresh) > self.cache:
-                self.words, self.differing = {}, set()
-                fresh = {w for p in parts for w in p}
-            self._learn(sorted(fresh))
+            parts = [_WORD.findall(" " + t.replace(MARK, " ")) if t else [] for t in some]
+            met = set().union(*parts)
+            if len(self.met) + len(met) > self.cache // 2:
+                # Forget what was not met since the last time.
+                self.words = {w: self.words[w] for w in self.met}
+                self.differing &= self.met
+                self.broken &= self.met
+                self.met = set()
+            self._learn(list(met.difference(self.words)))
+            self.met |= met
             known = self.words.__getitem__
-            out += [(np.frombuffer(b"".join(map(known, p)), dtype=np.int32),
-                     not self.differing or self.differing.isdisjoint(p)) for p in parts]
+            for t, p in zip(some, parts):
+                # A marker of the text comes back as a blank.
+                back = (MARK not in t and (not self.broken or self.broken.isdisjoint(p))
+                        if self.check else None)
+                out.append((np.frombuffer(b"".join(map(known, p)), dtype=np.int32),
+                            not self.differing or self.differing.isdisjoint(p), back))
         return out
 
     def decode(self, ids: list[np.ndarray | None]) -> list[str]:
@@ -275,17 +302,17 @@ def _model_bytes(path: str) -> bytes:
         return file.read()
 
 
-def _encoder(raw: bytes, threads: int) -> Encoder:
+def _encoder(raw: bytes, threads: int, check: bool = False) -> Encoder:
     """One encoder for all tasks of a worker process, that of the last model used.
 
     Functions travel to the workers by value, with globals of their own in each task, so it
     is kept where the process keeps its modules.
     """
     held = sys.modules.setdefault("_textwarden_encoder", types.ModuleType("_textwarden_encoder"))
-    name = hashlib.sha256(raw).hexdigest(), threads
+    name = hashlib.sha256(raw).hexdigest(), threads, check
     if getattr(held, "name", None) != name:
         held.name, held.encoder = None, None
-        held.encoder = Encoder(raw, threads)
+        held.encoder = Encoder(raw, threads, check=check)
         held.name = name
     return held.encoder
 
@@ -298,17 +325,15 @@ def encode(docs: DataFrame, text: str = "text", out_col: str = "tokens",
     raw, threads = _model_bytes(model_path), _threads(docs, threads)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(raw, threads)
+        encoder = _encoder(raw, threads, check)
         for series in batches:
             # Few texts' ids at a time; Spark takes smaller frames than it has sent.
             for at in range(0, len(series), FRAME):
                 texts = [t if isinstance(t, str) else "" for t in series.iloc[at:at + FRAME]]
-                rows = encoder.encode(texts)
-                ids = [r[0] for r in rows]
-                back = [x == y for x, y in zip(encoder.decode(ids), texts)] if check else None
+                rows = encoder.checked(texts)
                 yield pd.DataFrame({
-                    "ids": ids, "parity": [r[1] for r in rows],
-                    "round_trip": pd.Series(back or [None] * len(ids), dtype=object)})
+                    "ids": [r[0] for r in rows], "parity": [r[1] for r in rows],
+                    "round_trip": pd.Series([r[2] for r in rows], dtype=object)})
             if not len(series):
                 yield pd.DataFrame({"ids": [], "parity": [], "round_trip": []})
 
