@@ -5,8 +5,9 @@ import random
 from urllib.parse import urlparse
 
 import numpy as np
+import pandas as pd
 
-from textwarden.llm import common, lines, pieces
+from textwarden.llm import common, lines, pieces, repeats
 from textwarden.llm.edits import within
 from textwarden.session import scratch_folder
 
@@ -112,3 +113,31 @@ def test_words_are_decoded_once():
                 (ids.tolist(), *rest) for ids, *rest in first]
     assert set(small.words) >= small.met and len(small.words) <= 8
     assert all(r[2] is None for r in pieces.Encoder(raw).checked(texts))
+
+
+def test_equal_segments_are_sorted_once(monkeypatch):
+    """The suffix array holds a segment once, however many documents have it."""
+    sizes, inner = [], repeats.suffix_array
+    monkeypatch.setattr(repeats, "suffix_array", lambda t, *a: sizes.append(len(t)) or inner(t, *a))
+    same, longer = bytes(range(1, 61)), bytes(range(1, 71))
+    parts = [(1, i, 5, same) for i in range(9, 0, -1)] + [(1, 4, 90, same), (1, 0, 7, longer)]
+    rows = pd.DataFrame(parts, columns=["key", "id", "start", "bytes"]).sort_values(
+        ["key", "id", "start"], ignore_index=True)
+    got = pd.concat(repeats._scan(iter([rows])))
+    want = [(i, 5, 11) for i in range(1, 10)] + [(4, 90, 11)]
+    assert sorted(zip(got["id"], got["start"], got["count"])) == sorted(want)
+    assert sizes == [61 + 71]
+
+
+def test_frames_of_stored_rows_are_small(spark):
+    """A Python function does not get all texts of a task at once."""
+
+    def sizes(frames):
+        for frame in frames:
+            yield pd.DataFrame({"n": [len(frame)], "size": [int(frame["text"].str.len().sum())]})
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat(cast(id as string), 3000) text")
+    before = spark.conf.get(common.FRAME_BYTES)
+    got = common.stored(rows.mapInPandas(sizes, "n long, size long")).collect()
+    assert sum(r["n"] for r in got) == 3000 and max(r["size"] for r in got) < 6_000_000
+    assert spark.conf.get(common.FRAME_BYTES) == before

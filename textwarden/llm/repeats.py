@@ -10,7 +10,8 @@ dropped after a partial aggregation of (key, id).  The other segments are sent t
 with their bytes, in order of ids.  There a suffix array of many segments is built in two
 stages: suffixes smaller than their successors are sorted directly, the rest is induced by
 scanning buckets of first bytes, a bucket at a time.  Strings whose neighbours in the array
-share ``LENGTH`` bytes form a group, and all but those of its smallest id are repeats.  A key with
+share ``LENGTH`` bytes form a group, and all but those of its smallest id are repeats.  Equal
+segments are in the array once.  A key with
 more segments than fit a buffer is taken in pieces by rising id, with hashes of the strings seen.
 
 Defined cases: null and empty texts, and texts under ``LENGTH`` bytes, lose nothing; rows
@@ -174,9 +175,15 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """``last``: whether the rows end their last key."""
         nonlocal hot_key, seen_code, seen_low
         ids, key = rows["id"].to_numpy(), rows["key"].to_numpy()
-        part, offset, fresh, low, code = repeated(rows["bytes"].to_list(), ids)
+        # Copies of a segment are one, of their smallest id.
+        copy_of, own = pd.factorize(rows["bytes"])
+        lowest = np.full(len(own), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, copy_of, ids)
+        own_key = np.zeros(len(own), np.int64)
+        own_key[copy_of] = key
+        part, offset, fresh, low, code = repeated(list(own), lowest)
         if hot_key is not None and len(part):
-            of_hot = key[part] == hot_key
+            of_hot = own_key[part] == hot_key
             at = np.minimum(np.searchsorted(seen_code, code), max(0, len(seen_code) - 1))
             known = of_hot & (seen_code[at] == code) if len(seen_code) else np.zeros(len(part), bool)
             low = np.where(known, np.minimum(low, seen_low[at] if len(seen_low) else 0), low)
@@ -185,7 +192,7 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if hot_key != key[-1]:
                 seen_code, seen_low = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             hot_key = key[-1]
-            mine = fresh & (key[part] == hot_key)
+            mine = fresh & (own_key[part] == hot_key)
             codes, lows = np.append(seen_code, code[mine]), np.append(seen_low, low[mine])
             by = np.lexsort((lows, codes))
             codes, lows = codes[by], lows[by]
@@ -193,8 +200,17 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen_code, seen_low = codes[keep], lows[keep]
         else:
             hot_key = None
-        gone = low < ids[part]
-        who, where = ids[part[gone]], rows["start"].to_numpy()[part[gone]] + offset[gone]
+        # The strings of each segment in order, for each of its copies.
+        by = np.lexsort((offset, part))
+        low, offset = low[by], offset[by]
+        size = np.bincount(part, minlength=len(own))
+        count = size[copy_of]
+        at = np.arange(count.sum()) + np.repeat(
+            (np.cumsum(size) - size)[copy_of] - (np.cumsum(count) - count), count)
+        row = np.repeat(np.arange(len(rows)), count)
+        gone = low[at] < ids[row]
+        row, at = row[gone], at[gone]
+        who, where = ids[row], rows["start"].to_numpy()[row] + offset[at]
         by = np.lexsort((where, who))
         who, where = who[by], where[by]
         edge = np.flatnonzero(np.concatenate(
