@@ -40,7 +40,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 # Words kept in a task: a bound on memory, not on what is encoded.
-CACHE = 240_000
+CACHE = 120_000
 # Texts in a frame that goes back to Spark.
 FRAME = 128
 SCHEMA = "ids array<int>, parity boolean, round_trip boolean"
