@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from textwarden.llm import near, pieces
+from textwarden.llm import common, near, pieces
+from textwarden.llm import components as components_module
 from textwarden.llm.components import components
 from textwarden.llm.linking import link_components, shared_members
 
@@ -113,3 +114,51 @@ def test_odd_bits_never_exceed_the_difference():
         apart = len(set(one.tolist()) ^ set(two.tolist()))
         bits = sum(int(x).bit_count() for x in (near.odd_bits(one) ^ near.odd_bits(two)).view("u8"))
         assert bits <= apart
+
+
+def test_the_last_step_carries_no_lists_of_bands(spark):
+    """Rows of (band, node) are as many as the members: a list in each would be their square."""
+    bands = [(b, n) for n in range(12) for b in range(8)]
+    members = shared_members(spark.createDataFrame(bands, "band int, node long"))
+    sides = spark.createDataFrame([(n, n % 3) for n in range(12)], "node long, p int")
+    tried = []
+
+    def accept(pairs):
+        tried.append((pairs._jdf.queryExecution().optimizedPlan().toString(), pairs.collect()))
+        return pairs
+
+    parts = link_components(members, sides, lambda x, y: F.abs(x("p") - y("p")), 0, accept, rounds=0)
+    ((plan, pairs),) = tried
+    assert "collect_set" not in plan and "array" not in plan
+    # Each pair once, however many bands it shares.
+    assert sorted(map(tuple, pairs)) == [(a, b) for a in range(12) for b in range(a + 3, 12, 3)]
+    assert {r["node"]: r["component"] for r in parts.collect()} == {n: n % 3 for n in range(12)}
+
+
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    """And narrow rows of a known number are written by few tasks."""
+    written = []
+
+    def counted(df, rows=None):
+        out = common.stored(df, rows)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components_module, "stored", counted)
+    stars = [(n, n % 5) for n in range(5, 400)] + [(6, 1), (1, 6)]
+    links = spark.createDataFrame(stars, "a long, b long").repartition(60, "a")
+    got = components(links, len(stars))
+    assert {r["node"]: r["component"] for r in got.collect()} == {n: n % 5 for n in range(400)}
+    assert len(written) == 1
+    chain = spark.createDataFrame([(n, n + 1) for n in range(50)], "a long, b long")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = components(chain, 50).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert {tuple(r) for r in got} == {(n, 0) for n in range(51)} and len(got) == 51
+    assert max(written) <= spark.sparkContext.defaultParallelism

@@ -139,7 +139,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
             yield frame.loc[keep, ["a", "b"]]
 
     rows = pairs.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "two"), "b")
-    return rows.mapInPandas(check, "a long, b long").distinct()
+    return rows.mapInPandas(check, "a long, b long")
 
 
 def near_duplicates(
