@@ -250,3 +250,31 @@ def test_phrase_edges(spark, docs):
     assert sorted(got) == plain_counts(ROWS, 3, 2)
     assert phrases.collocations(docs.where("false")).count() == 0
     assert {(r["lang"], r["phrase"]) for r in phrases.collocations(docs).collect()} == {("und", "word word word")}
+
+
+def test_frequent_fingerprints_are_searched_in_order(monkeypatch):
+    """Both sides of the search are sorted; phrases and counts are those of the text."""
+    import pyarrow as pa
+
+    from textwarden.llm import phrases
+
+    words = (b"a b c . " * 30 + b"d a b . e f . ").split()
+    runs = phrases.Runs(b" ".join(words), ["x"], [len(words)])
+    answers = [phrases.pack(np.unique(runs.of(2)[1]))]
+    batch = pa.RecordBatch.from_pydict({
+        "langs": [["x"]], "lengths": [[len(words)]], "answers": pa.array([answers], pa.list_(pa.binary())),
+        "data": [phrases.zlib.compress(b" ".join(words))]})
+
+    class Chunks:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([batch])))
+
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(phrases.np, "searchsorted", lambda a, v, *r, **k: asked.append(v) or search(a, v, *r, **k))
+    out = phrases._written_out(Chunks(), 2, 64)
+    assert asked and all((v[1:] >= v[:-1]).all() for v in asked)
+    got = {(k, p): n for b in out for k, p, n in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))}
+    assert got == {(0, ""): 95, (2, "a b"): 31, (2, "b c"): 30, (2, "d a"): 1, (2, "e f"): 1}

@@ -250,10 +250,11 @@ def _written_out(chunks: DataFrame, longest: int, bits: int) -> DataFrame:
         start, fp = runs.of(k)
         if not len(frequent) or not len(start):
             return
+        # In order, so that the search goes through both from start to end.
+        order = np.argsort(fp)
+        start, fp = start[order], fp[order]
         hit = frequent[np.minimum(np.searchsorted(frequent, fp), len(frequent) - 1)] == fp
         start, fp = start[hit], fp[hit]
-        order = np.argsort(fp, kind="stable")
-        start, fp = start[order], fp[order]
         # A run is its language and words; equal fingerprints of others are runs of their own.
         new = np.ones(len(fp), dtype=bool)
         new[1:] = (fp[1:] != fp[:-1]) | (runs.lang[start[1:]] != runs.lang[start[:-1]])
