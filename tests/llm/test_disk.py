@@ -63,3 +63,24 @@ def test_a_task_of_answers_has_one_range(spark):
     got = sorted((r["chunk"], phrases.unpack(r["fps"]).tolist()) for r in out.collect())
     # Only what all three chunks have occurs 12 times.
     assert got == sorted((c, [p * 16 + 2, p * 16 + 3, p * 16 + 4]) for c in range(3) for p in range(40))
+
+
+def test_tied_suffixes_are_sorted_further_alone():
+    """Places by their first 50 bytes, as a sort of all of them has it; only ties are read on."""
+    rng = np.random.default_rng(3)
+    unit = rng.integers(1, 5, 400)
+    t = np.concatenate([rng.integers(1, 5, 900), unit, unit, np.full(90, 2), unit[:60]]).astype(np.uint8)
+    words, at = repeats._words(t), rng.permutation(len(t))
+    got = repeats._by_words(words, at, 50)
+    data = t.tobytes() + bytes(64)
+    strings = [data[i:i + 50] for i in got]
+    assert strings == sorted(strings) and sorted(got) == list(range(len(t)))
+    assert not len(repeats._by_words(words, at[:0], 50))
+
+
+def test_strings_are_hashed_only_where_a_key_goes_on():
+    """A buffer that ends its key needs no hashes of its strings."""
+    parts, ids = [b"x" * 60, b"x" * 55 + b"abcdef"], np.array([1, 2])
+    plain, hashed = repeats.repeated(parts, ids, hashed=False), repeats.repeated(parts, ids)
+    assert len(plain[4]) == 0 and len(hashed[4]) == len(hashed[0]) == 11 + 12
+    assert all((x == y).all() for x, y in zip(plain[:4], hashed[:4]))

@@ -88,6 +88,33 @@ def _words(t: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_words(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """The places ``at`` ordered by the ``depth`` bytes from each: by eight, and those that are
+    still equal by as many more as fit into a number beside the number of their group."""
+    at = at[np.argsort(words[at])]
+    key, done, tied = words[at], 8, np.arange(len(at))
+    while done < depth:
+        # Of the rows looked at, in order, those that equal a neighbour.
+        same = key[1:] == key[:-1]
+        mine = np.append(same, False)
+        mine[1:] |= same
+        if not mine.any():
+            break
+        first = np.append(True, ~same)[mine]
+        tied = tied[mine]
+        group = (np.cumsum(first) - 1).astype(np.uint64)
+        room = (64 - int(group[-1]).bit_length()) // 8
+        shift = np.uint64(64 - 8 * room)
+        some = at[tied]
+        key = words[some + done] >> shift
+        if room < 8:
+            key |= group << np.uint64(8 * room)
+        by = np.argsort(key)
+        at[tied], key = some[by], key[by]
+        done += room
+    return at
+
+
 def suffix_array(t: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """Places of all suffixes, ordered by at least their first ``depth`` bytes."""
     n = len(t)
@@ -102,8 +129,7 @@ def suffix_array(t: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np.nd
     # Stage one: sort the small ones directly, by eight bytes at a time.
     direct = np.flatnonzero(small)
     if len(direct):
-        by = np.lexsort([words[direct + 8 * i] for i in reversed(range(-(-depth // 8)))])
-        direct = direct[by]
+        direct = _by_words(words, direct, depth)
         first = t[direct]
         n_small = np.bincount(first, minlength=256)
         rank = np.arange(len(direct)) - np.concatenate([[0], np.cumsum(n_small)])[first]
@@ -136,10 +162,10 @@ def suffix_array(t: np.ndarray, words: np.ndarray, depth: int = LENGTH) -> np.nd
     return order
 
 
-def repeated(parts: list[bytes], ids: np.ndarray, length: int = LENGTH
+def repeated(parts: list[bytes], ids: np.ndarray, length: int = LENGTH, hashed: bool = True
              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For every string of ``length`` in the parts, in array order: part, offset, whether it
-    starts a new group, the group's smallest id, and a hash of the string."""
+    starts a new group, the group's smallest id, and, if ``hashed``, a hash of the string."""
     sizes = np.array([len(p) for p in parts])
     t = np.frombuffer(b"".join(x for p in parts for x in (p, b"\xff")), dtype=np.uint8)
     # UTF-8 has no byte 255: as 0 it ends parts.
@@ -148,16 +174,18 @@ def repeated(parts: list[bytes], ids: np.ndarray, length: int = LENGTH
     owner = np.repeat(np.arange(len(parts)), sizes + 1)
     words = _words(t)
     order = suffix_array(t, words, length)
-    offset = order - base[owner[order]]
-    order = order[offset <= sizes[owner[order]] - length]
+    # Only where a string has room in its part.
+    room = np.arange(len(t)) <= np.repeat(base[:-1] + sizes - length, sizes + 1)
+    order = order[room[order]]
     # Common prefixes with the array's next string, as far as ``length`` goes.
     same = np.ones(max(0, len(order) - 1), dtype=bool)
     spots = [*range(0, length - 7, 8), length - 8]
-    code = np.zeros(len(order), dtype=np.uint64)
+    code = np.zeros(len(order) if hashed else 0, dtype=np.uint64)
     for spot in spots:
         w = words[order + spot]
         same &= w[1:] == w[:-1]
-        code = mix(code * np.uint64(_FACTOR) + w)
+        if hashed:
+            code = mix(code * np.uint64(_FACTOR) + w)
     fresh = np.concatenate([[True], ~same])[:len(order)]
     part = owner[order]
     group = np.cumsum(fresh) - 1
@@ -181,7 +209,8 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         np.minimum.at(lowest, copy_of, ids)
         own_key = np.zeros(len(own), np.int64)
         own_key[copy_of] = key
-        part, offset, fresh, low, code = repeated(list(own), lowest)
+        part, offset, fresh, low, code = repeated(
+            list(own), lowest, hashed=hot_key is not None or not last)
         if hot_key is not None and len(part):
             of_hot = own_key[part] == hot_key
             at = np.minimum(np.searchsorted(seen_code, code), max(0, len(seen_code) - 1))
@@ -201,9 +230,11 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         else:
             hot_key = None
         # The strings of each segment in order, for each of its copies.
-        by = np.lexsort((offset, part))
-        low, offset = low[by], offset[by]
         size = np.bincount(part, minlength=len(own))
+        # All strings of a part are there, so their places are known without sorting.
+        by = np.empty(len(part), np.int64)
+        by[(np.cumsum(size) - size)[part] + offset] = np.arange(len(part))
+        low, offset = low[by], offset[by]
         count = size[copy_of]
         at = np.arange(count.sum()) + np.repeat(
             (np.cumsum(size) - size)[copy_of] - (np.cumsum(count) - count), count)
