@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from textwarden.llm import common, phrases, repeats
+from textwarden.llm import common, lines, phrases, repeats
 
 
 def _shuffled(spark) -> set[str]:
@@ -84,3 +84,15 @@ def test_strings_are_hashed_only_where_a_key_goes_on():
     plain, hashed = repeats.repeated(parts, ids, hashed=False), repeats.repeated(parts, ids)
     assert len(plain[4]) == 0 and len(hashed[4]) == len(hashed[0]) == 11 + 12
     assert all((x == y).all() for x, y in zip(plain[:4], hashed[:4]))
+
+
+def test_more_pairs_than_lines_are_compared_in_slices(spark, monkeypatch):
+    """Texts of all pairs never lie on the disks together; the pairs found are the same."""
+    texts = ["a line of some words and more", "a line of some words and mare", "quite another one",
+             "quite another two", "a line of some worlds and more", "nothing like the rest of them"]
+    known = spark.createDataFrame(list(enumerate(texts)), "h long, line string")
+    pairs = spark.createDataFrame([(a, b) for a in range(6) for b in range(a + 1, 6)], "a long, b long")
+    written = []
+    monkeypatch.setattr(lines, "stored", lambda df: written.append(df.count()) or common.stored(df))
+    got = sorted(map(tuple, lines._compared(pairs, known, 0.8).collect()))
+    assert got == [(0, 1), (0, 4), (1, 4), (2, 3)] and len(written) == 3 and sum(written) == 4
